@@ -91,7 +91,7 @@ def _incremental_fact_stream(spark: SparkSession, folder: str) -> DataFrame:
     inputs = retail.from_retail(spark, folder)
     target = shared_folder(spark, "stream")
     for run in ("first", "replay"):
-        files = spark.readStream.schema(retail.EVENTS).parquet(os.path.join(folder, "events*.parquet"))
+        files = spark.readStream.schema(retail.SCHEMAS["events"]).parquet(os.path.join(folder, "events*.parquet"))
         checkpoint = os.path.join(target, f"_checkpoint_{run}")
         stream_increments(retail.event_logs(files), inputs, target, checkpoint).awaitTermination()
     return _timeless(StoredStar(target, inputs).fact)

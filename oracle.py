@@ -481,10 +481,11 @@ _STATEMENTS = {
               FROM people GROUP BY ALL) USING (signup_month)""",
     "dim_users_history": _HISTORY,
     "ltr_by_region": """
-        SELECT r_name AS region, country, count(listen_through_rate) AS listen_events,
+        SELECT region, country, count(listen_through_rate) AS listen_events,
                round(avg(listen_through_rate), 6) AS avg_listen_through_rate
         FROM listens JOIN people USING (user_id)
-        JOIN nation ON n_name = country JOIN region ON r_regionkey = n_regionkey
+        JOIN (SELECT n_name AS country, r_name AS region
+              FROM nation JOIN region ON r_regionkey = n_regionkey) USING (country)
         GROUP BY ROLLUP (region, country)""",
     "feature_impact": """
         SELECT CASE user_id % 2 WHEN 0 THEN 'exposed' ELSE 'control' END AS exposure_group,
