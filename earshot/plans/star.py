@@ -198,6 +198,12 @@ class Star:
     def staged(self) -> DataFrame:
         return staging.stage_events(self.inputs.event_logs)
 
+    @cached_property
+    def flagged_log(self) -> DataFrame:
+        """Every raw event, copies included, with key and flags: for questions to which copies do not
+        matter, since nothing has to be shuffled for it."""
+        return staging.flag_events(staging.raw_events(self.inputs.event_logs))
+
     @cached_property
     def valid(self) -> DataFrame:
         """Valid staged events with their day, before any lookup."""
@@ -251,10 +257,8 @@ class Star:
 
     @cached_property
     def last_event_date(self) -> DataFrame:
-        """One row: the day of the last valid event. Copies do not move a maximum, so this reads the
-        log without removing duplicates and shuffles nothing but one value per task."""
-        flagged = staging.flag_events(staging.raw_events(self.inputs.event_logs))
-        return split_quarantine(flagged)[0].agg(F.max(F.to_date("event_datetime")).alias("event_date"))
+        """One row: the day of the last valid event. Copies do not move a maximum."""
+        return split_quarantine(self.flagged_log)[0].agg(F.max(F.to_date("event_datetime")).alias("event_date"))
 
     def look_up_episodes(self, events: DataFrame) -> DataFrame:
         """Hot episodes are told from the raw log: one column of it, counted without cleaning."""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from earshot.plans.star import FACT, QUARANTINE, Star, StoredStar, write_by_day
+from earshot.plans.star import FACT, QUARANTINE, Star, write_by_day
 from earshot.sources.inputs import Inputs
 
 MAX_LISTED_DAYS = 1000
@@ -26,16 +27,16 @@ def load_increment(batch: Inputs, folder: str, lookback_days: int | None = None)
     out, as a log that is known to arrive in order allows. By default a late event is loaded like any.
     """
     star = Star(batch)
-    _create_tables(star, folder)
-    loaded = StoredStar(folder, batch)
     events = star.events
+    fact, quarantine = os.path.join(folder, FACT), os.path.join(folder, QUARANTINE)
     if lookback_days is not None:
-        newest = loaded.last_event_date.select(F.date_sub("event_date", lookback_days)).scalar()
-        events = events.where(F.col("event_date") >= F.coalesce(newest, F.col("event_date")))
-    days = star.staged.select(F.to_date("event_datetime").alias("event_date"))
-    touched = _touched(days)
-    _append(events, loaded.events, touched, os.path.join(folder, FACT))
-    _append(star.quarantine, loaded.quarantine, touched, os.path.join(folder, QUARANTINE))
+        loaded = _read_if_there(fact, events)
+        if loaded is not None:
+            newest = loaded.agg(F.date_sub(F.max("event_date"), lookback_days).alias("day")).scalar()
+            events = events.where(F.col("event_date") >= F.coalesce(newest, F.col("event_date")))
+    days = _touched(star.flagged_log.select(F.to_date("event_datetime").alias("event_date")))
+    _append(events, fact, days)
+    _append(star.quarantine, quarantine, days)
 
 
 def stream_increments(
@@ -56,13 +57,6 @@ def stream_increments(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _create_tables(star: Star, folder: str) -> None:
-    spark = star.inputs.users.sparkSession
-    for name, schema in ((FACT, star.event_schema), (QUARANTINE, star.quarantine_schema)):
-        empty = spark.createDataFrame([], schema)
-        empty.write.partitionBy("event_date").mode("ignore").parquet(os.path.join(folder, name))
-
-
 def _touched(days: DataFrame) -> list | None:
     """The days of the batch, for partition pruning, or None (search everything) if it has too many
     to list - a log with a wild spread of dates must not fill the driver."""
@@ -70,12 +64,26 @@ def _touched(days: DataFrame) -> list | None:
     return None if len(found) > MAX_LISTED_DAYS else [row["event_date"] for row in found]
 
 
-def _append(new: DataFrame, loaded: DataFrame, days: list | None, path: str) -> None:
-    if days is not None:
-        dated = [day for day in days if day is not None]
-        same_day = F.col("event_date").isin(dated) if dated else F.lit(False)
-        if len(dated) < len(days):
-            same_day = same_day | F.col("event_date").isNull()
-        loaded = loaded.where(same_day)
-    unseen = new.join(loaded.select("event_id"), "event_id", "left_anti")
-    write_by_day(unseen.select(*new.columns), path, mode="append")
+def _read_if_there(path: str, like: DataFrame) -> DataFrame | None:
+    try:
+        return like.sparkSession.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _append(new: DataFrame, path: str, days: list | None) -> None:
+    loaded = _read_if_there(path, new)
+    if loaded is not None:
+        if days is not None:
+            loaded = loaded.where(_on_days(days))
+        new = new.join(loaded.select("event_id"), "event_id", "left_anti").select(*new.columns)
+    write_by_day(new, path, mode="append")
+
+
+def _on_days(days: list) -> Column:
+    """Among the days, of which null (no readable time) may be one."""
+    known = [day for day in days if day is not None]
+    on_known = F.col("event_date").isin(known) if known else F.lit(False)
+    return on_known if len(known) == len(days) else on_known | F.col("event_date").isNull()
