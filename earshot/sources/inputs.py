@@ -45,6 +45,10 @@ class Inputs:
     event_logs: DataFrame
 
 
+# A quote inside a quoted field is doubled.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header; an empty field, quoted or not, is null; LF or CRLF line ends.
 
@@ -53,14 +57,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """
     return (
         spark.read.schema(schema)
-        .options(header=True, nullValue="", emptyValue="", mode="FAILFAST", enforceSchema=False)
+        .options(header=True, nullValue="", emptyValue="", mode="FAILFAST", enforceSchema=False, **QUOTING)
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, every field quoted, null as an empty field."""
-    df.write.options(header=True, quoteAll=True, nullValue="", emptyValue="").mode("errorifexists").csv(path)
+    df.write.options(header=True, quoteAll=True, nullValue="", emptyValue="", **QUOTING).csv(path)
 
 
 def from_csv(spark: SparkSession, folder: str) -> Inputs:

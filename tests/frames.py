@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
+
 from earshot import Inputs, Star
 from earshot.sources.inputs import EPISODES, EVENT_LOG, USERS
 
@@ -31,3 +34,10 @@ def star(spark, events, **dimensions) -> Star:
 
 def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def plan_of(df, mode="formatted"):
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
