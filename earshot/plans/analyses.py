@@ -120,7 +120,7 @@ def ltr_by_length_bucket(star: Star) -> DataFrame:
 def users_with_busy_day(star: Star, episodes: int = 3) -> DataFrame:
     """Users who listened to at least that many different episodes on one day."""
     name = f"users_{episodes}plus_episodes_in_a_day"
-    busy = star.daily_activity.where(F.col("distinct_episodes") >= episodes)
+    busy = star.daily_variety.where(F.col("distinct_episodes") >= episodes)
     return busy.agg(F.count_distinct("user_id").alias(name))
 
 

@@ -26,7 +26,7 @@ def listen_definition_sensitivity(star: Star, episodes: int = 3) -> DataFrame:
         "play_or_complete": ls.is_listen(kind),
         "play_only": kind == "play",
     }
-    per_episode = star.valid.groupBy("user_id", "event_date", "episode_id").agg(
+    per_episode = star.valid_copies.groupBy("user_id", "event_date", "episode_id").agg(
         *[F.max(hit.cast("int")).alias(name) for name, hit in readings.items()]
     )
     per_day = per_episode.groupBy("user_id", "event_date").agg(*[F.sum(n).alias(n) for n in readings])
@@ -42,7 +42,7 @@ def listen_definition_sensitivity(star: Star, episodes: int = 3) -> DataFrame:
 def top_episodes_by_distinct_listeners(star: Star, n: int = 10) -> DataFrame:
     """Users who completed an episode, however often."""
     listeners = (
-        star.valid.where(F.col("event_type") == ls.COMPLETION)
+        star.valid_copies.where(F.col("event_type") == ls.COMPLETION)
         .groupBy("episode_id")
         .agg(F.count_distinct("user_id").alias("distinct_listeners"))
     )
@@ -73,7 +73,7 @@ def new_vs_returning_listeners(star: Star) -> DataFrame:
     """Per episode: listeners whose first day with any listen is their first day with this episode,
     and the others. Only (user, episode) pairs reach the join, never the events."""
     pairs = (
-        star.valid.where(ls.is_listen(F.col("event_type")))
+        star.valid_copies.where(ls.is_listen(F.col("event_type")))
         .groupBy("user_id", "episode_id")
         .agg(F.min("event_date").alias("first_heard"))
     )
@@ -132,7 +132,7 @@ def cohort_retention(star: Star) -> DataFrame:
         "user_id", signup.alias("signup_month"), cal.month_index(F.col("signup_date")).alias("signup_index")
     )
     active = (
-        star.valid.where(ls.is_listen(F.col("event_type")))
+        star.valid_copies.where(ls.is_listen(F.col("event_type")))
         .select("user_id", cal.month_index(F.col("event_date")).alias("active_index"))
         .distinct()
     )

@@ -38,7 +38,7 @@ def check_not_null(star: Star) -> DataFrame:
 
 
 def check_accepted_values(star: Star) -> DataFrame:
-    in_fact = c.check_rows(star.events, [_known_event_type()])
+    in_fact = c.check_rows(star.valid, [_known_event_type()])
     return in_fact.unionByName(c.check_rows(star.dim_episodes, [_known_bucket()]))
 
 
@@ -56,12 +56,13 @@ def _known_event_type():
 
 
 def check_relationships(star: Star) -> DataFrame:
-    fact = "fct_listening_events"
-    return c.check_references(
-        star.events, f"{fact}.user_id", "user_id", star.dim_users, "user_id"
-    ).unionByName(
-        c.check_references(star.events, f"{fact}.episode_id", "episode_id", star.dim_episodes, "episode_id")
+    """The ids of the fact are those of the valid events; no episode has to be looked up for them."""
+    fact, events = "fct_listening_events", star.valid
+    users = c.check_references(events, f"{fact}.user_id", "user_id", star.dim_users, "user_id")
+    episodes = c.check_references(
+        events, f"{fact}.episode_id", "episode_id", star.dim_episodes, "episode_id"
     )
+    return users.unionByName(episodes)
 
 
 def check_unique_combination(star: Star) -> DataFrame:

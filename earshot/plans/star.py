@@ -125,11 +125,11 @@ def quarantined(events: DataFrame) -> DataFrame:
     return events.select(*REJECTED_COLUMNS, F.to_date("event_datetime").alias("event_date"))
 
 
-def user_daily_activity(fact: DataFrame) -> DataFrame:
-    """One row per user and day with a listen. The distinct count shuffles on user, day and episode
-    first, so a heavy user is spread over tasks by episode."""
+def user_daily_activity(valid: DataFrame) -> DataFrame:
+    """One row per user and day with a listen; nothing of the episode is needed but its id. The
+    distinct count shuffles on user, day and episode first, so a heavy user is spread over tasks."""
     return (
-        fact.where("is_listen_event")
+        valid.where(ls.is_listen(F.col("event_type")))
         .groupBy("user_id", "event_date")
         .agg(
             F.count_distinct("episode_id").alias("distinct_episodes"),
@@ -200,8 +200,7 @@ class Star:
 
     @cached_property
     def flagged_log(self) -> DataFrame:
-        """Every raw event, copies included, with key and flags: for questions to which copies do not
-        matter, since nothing has to be shuffled for it."""
+        """Every raw event, copies included, with key and flags; nothing is shuffled for it."""
         return staging.flag_events(staging.raw_events(self.inputs.event_logs))
 
     @cached_property
@@ -209,6 +208,12 @@ class Star:
         """Valid staged events with their day, before any lookup."""
         return split_quarantine(self.staged)[0].withColumn("event_date", F.to_date("event_datetime"))
 
+    @cached_property
+    def valid_copies(self) -> DataFrame:
+        """`valid` with the copies left in. What is counted distinct, or is a first or last of
+        something, comes out the same, and the shuffle of the whole log is saved."""
+        return split_quarantine(self.flagged_log)[0].withColumn("event_date", F.to_date("event_datetime"))
+
     @cached_property
     def quarantine(self) -> DataFrame:
         """Rejected events, with their day where the timestamp was readable."""
@@ -249,7 +254,12 @@ class Star:
 
     @cached_property
     def daily_activity(self) -> DataFrame:
-        return user_daily_activity(self.events)
+        return user_daily_activity(self.valid)
+
+    @cached_property
+    def daily_variety(self) -> DataFrame:
+        """Of the daily activity only the distinct episodes, which copies do not change."""
+        return user_daily_activity(self.valid_copies).drop("total_listen_events")
 
     @cached_property
     def engagement(self) -> DataFrame:
@@ -257,8 +267,8 @@ class Star:
 
     @cached_property
     def last_event_date(self) -> DataFrame:
-        """One row: the day of the last valid event. Copies do not move a maximum."""
-        return split_quarantine(self.flagged_log)[0].agg(F.max(F.to_date("event_datetime")).alias("event_date"))
+        """One row: the day of the last valid event."""
+        return self.valid_copies.agg(F.max("event_date").alias("event_date"))
 
     def look_up_episodes(self, events: DataFrame) -> DataFrame:
         """Hot episodes are told from the raw log: one column of it, counted without cleaning."""
@@ -348,10 +358,14 @@ class StoredStar(Star):
     def engagement(self) -> DataFrame:
         return self._read(MART)
 
+    @cached_property
+    def daily_variety(self) -> DataFrame:
+        return self.daily_activity
+
     @cached_property
     def valid(self) -> DataFrame:
         return self.events
 
     @cached_property
-    def last_event_date(self) -> DataFrame:
-        return self.events.agg(F.max("event_date").alias("event_date"))
+    def valid_copies(self) -> DataFrame:
+        return self.events
