@@ -13,16 +13,19 @@ READABLE_TIMESTAMP = (
     r"(?:[ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:[.][0-9]*)?)?)?)"
     r"(?:(?<=:[0-9.]{1,12}) ?(?:Z|UTC|[+-][0-9]{2}(?::?[0-9]{2})?))?$"
 )
+# The spelling nearly every log uses, which needs no rewriting; part of the grammar above.
+USUAL_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
 def parse_timestamp(text: Column) -> Column:
     """Zone-free timestamp, or null where the text is not one.
 
-    A zone suffix is accepted and dropped: the wall-clock time of the log is kept as written. One regex
-    per value; no match extracts the empty string, which the cast turns into null.
+    A zone suffix is accepted and dropped: the wall-clock time of the log is kept as written. The full
+    grammar, several times as slow, is tried only on what is not spelt in the usual way; no match
+    extracts the empty string, which the cast turns into null.
     """
-    wall_clock = F.translate(F.regexp_extract(text, READABLE_TIMESTAMP, 1), "/", "-")
-    return wall_clock.try_cast("timestamp_ntz")
+    wall_clock = F.replace(F.regexp_extract(text, READABLE_TIMESTAMP, 1), F.lit("/"), F.lit("-"))
+    return F.when(text.rlike(USUAL_TIMESTAMP), text).otherwise(wall_clock).try_cast("timestamp_ntz")
 
 
 def year_of(day: Column) -> Column:
