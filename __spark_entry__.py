@@ -18,9 +18,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from earshot import Inputs, Star  # noqa: E402
 from earshot.plans import analyses, audience, history, monitoring, profile, quality  # noqa: E402
+from earshot.plans.staging import stage_events  # noqa: E402
 from earshot.plans.star import REFRESHED, StoredStar  # noqa: E402
 from earshot.session import shared_folder  # noqa: E402
 from earshot.sources import retail  # noqa: E402
+from earshot.sources.inputs import EVENT_LOG, read_csv, write_csv  # noqa: E402
 from earshot.streaming.increment import load_increment, stream_increments  # noqa: E402
 from oracle import ORACLE  # noqa: E402
 
@@ -49,6 +51,13 @@ def _check_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_report(stored)
 
 
+def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The log written as a fully quoted file, read back, and cleaned; ids are text there."""
+    path = os.path.join(shared_folder(spark, "csv"), "event_logs.csv")
+    write_csv(retail.from_retail(spark, folder).event_logs, path)
+    return stage_events(read_csv(spark, path, EVENT_LOG))
+
+
 def _ltr_by_region(spark: SparkSession, folder: str) -> DataFrame:
     regions = retail.regions(retail.table(spark, folder, "nation"), retail.table(spark, folder, "region"))
     return audience.ltr_by_region(_star(spark, folder), regions)
@@ -121,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_3plus_episodes_in_a_day": _on_star(analyses.users_with_busy_day),
     "single_vs_multi_podcast": _on_star(analyses.single_vs_multi_podcast),
     "top_podcast_share": _on_star(analyses.top_podcast_share),
+    "top_podcast_per_user": _on_star(analyses.top_podcast_per_user),
     # Checks, one query per kind and one report with all of them.
     **{name: _on_star(check) for name, check in quality.CHECKS.items()},
     "check_report": _check_report,
@@ -129,6 +139,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         profile.raw_log_profile, "rejected_share", "overrun_share", "avg_listen_through"
     ),
     "raw_log_profile_by_bucket": _on_star(profile.raw_log_profile_by_bucket, "avg_listen_through"),
+    # Files out and in again.
+    "csv_round_trip": _csv_round_trip,
     # Further questions, and loading bit by bit.
     "incremental_fact": _incremental_fact,
     "incremental_fact_stream": _incremental_fact_stream,

@@ -14,3 +14,19 @@ def rank_by(df: DataFrame, metric: str, *tie_break: str) -> DataFrame:
 def top(df: DataFrame, n: int, metric: str, *tie_break: str) -> DataFrame:
     """The n highest: each task keeps its own n, so nothing is sorted globally."""
     return rank_by(df, metric, *tie_break).limit(n)
+
+
+def best_per_group(df: DataFrame, group: str, metric: str, *tie_break: str) -> DataFrame:
+    """The row with the highest metric of each group, lowest tie-break first among equals, and the
+    group's total as `total_<metric>`.
+
+    An aggregate and not a row number: rows merge in the map tasks, so a group of any size reaches
+    the shuffle as one row per task, and nothing is sorted. The tie-break columns have to make the
+    order total, or the choice among equals is open.
+    """
+    others = [c for c in df.columns if c not in (group, metric, *tie_break)]
+    # The smallest of (-metric, tie-break...) is the best; what it holds is unpacked again.
+    ranked = F.struct((-F.col(metric)).alias("_rank"), *tie_break, *others)
+    best = df.groupBy(group).agg(F.min(ranked).alias("_best"), F.sum(metric).alias(f"total_{metric}"))
+    kept = [F.col(f"_best.{c}").alias(c) for c in (*tie_break, *others)]
+    return best.select(group, *kept, (-F.col("_best._rank")).alias(metric), f"total_{metric}")

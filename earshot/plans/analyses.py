@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import listening as ls
-from earshot.operators.ranking import rank_by, top
+from earshot.operators.ranking import best_per_group, rank_by, top
 from earshot.operators.rules import flag_columns
 from earshot.plans import staging
 from earshot.plans.star import Star, measure
@@ -158,3 +158,8 @@ def top_podcast_share(star: Star) -> DataFrame:
         F.round(F.min("share"), 2).alias("min_concentration"),
         F.round(F.max("share"), 2).alias("max_concentration"),
     )
+
+
+def top_podcast_per_user(star: Star) -> DataFrame:
+    """Each user's most heard podcast, its listens and all their listens; the first by id of a tie."""
+    return best_per_group(listens_per_user_podcast(star), "user_id", "listens", "podcast_id")

@@ -411,6 +411,14 @@ _STATEMENTS = {
               FROM (SELECT user_id, podcast_id, count(*) AS n FROM listens
                     WHERE episode_id IN (SELECT episode_id FROM shows) GROUP BY user_id, podcast_id))
         WHERE place = 1""",
+    "top_podcast_per_user": """
+        SELECT user_id, podcast_id, n AS listens, CAST(total AS BIGINT) AS total_listens
+        FROM (SELECT user_id, podcast_id, count(*) AS n,
+                     sum(count(*)) OVER (PARTITION BY user_id) AS total,
+                     row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, podcast_id) AS place
+              FROM listens WHERE episode_id IN (SELECT episode_id FROM shows)
+              GROUP BY user_id, podcast_id)
+        WHERE place = 1""",
     **{name: _union(parts) for name, parts in _CHECKS.items()},
     "check_report": _union([part for parts in _CHECKS.values() for part in parts]),
     "raw_log_profile": """
@@ -429,6 +437,9 @@ _STATEMENTS = {
                    AS avg_listen_through,
                count(*) AS listens
         FROM profiled WHERE heard AND episode_length_bucket IS NOT NULL GROUP BY episode_length_bucket""",
+    "csv_round_trip": f"""
+        SELECT * REPLACE (CAST(user_id AS VARCHAR) AS user_id, CAST(episode_id AS VARCHAR) AS episode_id)
+        FROM (SELECT {_STAGED_COLUMNS} FROM staged)""",
     "incremental_fact": _FACT,
     "incremental_fact_stream": _FACT,
     "listen_definition_sensitivity": _union(

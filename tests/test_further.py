@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from earshot.operators.dedup import one_per_key
-from earshot.operators.ranking import top
+from earshot.operators.ranking import best_per_group, top
 from earshot.plans import audience, history, monitoring, profile
 from tests.frames import event, rows, star
 
@@ -101,6 +101,15 @@ def test_profile_keeps_copies_and_listens_without_a_user(spark):
     assert rows(profile.raw_log_profile_by_bucket(s), "*") == [("short", 0.625, 4)]
 
 
+def test_best_per_group(spark):
+    df = spark.createDataFrame(
+        [("a", 2, "y"), ("a", 2, "x"), ("a", 1, "w"), ("b", 5, None), (None, 1, "z")], "g string, n long, k string"
+    )
+    assert rows(best_per_group(df, "g", "n", "k"), "g", "k", "n", "total_n") == sorted(
+        [("a", "x", 2, 5), ("b", None, 5, 5), (None, "z", 1, 1)], key=repr
+    )
+
+
 def test_one_per_key_and_top(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("c", None)], "k string, n long")
     assert rows(one_per_key(df, "k"), "k") == [("a",), ("b",), ("c",)]
