@@ -1,14 +1,14 @@
 """The same results in plain SQL over the given tables, for the correctness comparison.
 
-`LAYERS` is the chain of named subqueries every statement starts with; a statement uses what it needs
-of it. Integer sums are cast to BIGINT, since the SQL engine widens them, and means are rounded like
+`SOURCES` derives the three inputs from the given tables and `MODELS` builds on them, both as chains of
+named subqueries that every statement starts with; a statement uses what it needs. Integer sums are cast to BIGINT, since the SQL engine widens them, and means are rounded like
 those of the queries.
 """
 
 from __future__ import annotations
 
-LAYERS = """
-WITH people AS (
+SOURCES = """
+people AS (
     SELECT c.c_custkey AS user_id,
            DATE '2023-06-01' + CAST(c.c_custkey * 13 % 200 AS INTEGER) AS signup_date,
            n.n_name AS country
@@ -48,7 +48,9 @@ log AS (
     SELECT * EXCLUDE (e) FROM single_log
     UNION ALL
     SELECT * EXCLUDE (e) FROM single_log WHERE e % 499 = 0
-),
+)"""
+
+MODELS = """
 once AS (
     SELECT event_type, user_id, episode_id, event_timestamp_raw, duration, count(*) AS copies
     FROM log GROUP BY ALL
@@ -111,7 +113,7 @@ fact AS (
                s.duration AS duration_raw_seconds,
                CASE WHEN s.duration > c.duration_seconds THEN c.duration_seconds ELSE s.duration END
                    AS duration_capped_seconds,
-               coalesce(s.duration, 0) > c.duration_seconds AS duration_exceeds_episode_length,
+               s.duration IS NOT NULL AND s.duration > c.duration_seconds AS duration_exceeds_episode_length,
                s.event_type IN ('play', 'complete') AS is_listen_event,
                coalesce(CAST(s.event_datetime AS DATE) < c.release_date, FALSE) AS is_before_episode_release,
                c.duration_seconds AS episode_duration_seconds,
@@ -428,12 +430,12 @@ _STATEMENTS = {
                count(*) FILTER (heard AND duration > duration_seconds) AS duration_overruns,
                round(CAST(count(*) FILTER (heard AND duration > duration_seconds) AS DOUBLE)
                    / nullif(count(*) FILTER (heard), 0), 6) AS overrun_share,
-               round(avg(CAST(least(duration, duration_seconds) AS DOUBLE) / duration_seconds) FILTER (heard), 6)
+               round(avg(CAST(least(duration, duration_seconds) AS DOUBLE) / nullif(duration_seconds, 0)) FILTER (heard), 6)
                    AS avg_listen_through
         FROM profiled""",
     "raw_log_profile_by_bucket": """
         SELECT episode_length_bucket,
-               round(avg(CAST(least(duration, duration_seconds) AS DOUBLE) / duration_seconds), 6)
+               round(avg(CAST(least(duration, duration_seconds) AS DOUBLE) / nullif(duration_seconds, 0)), 6)
                    AS avg_listen_through,
                count(*) AS listens
         FROM profiled WHERE heard AND episode_length_bucket IS NOT NULL GROUP BY episode_length_bucket""",
@@ -456,7 +458,8 @@ _STATEMENTS = {
     "podcast_completions_min_episodes": f"SELECT * FROM ({_PODCASTS}) WHERE episode_count >= 80",
     "ltr_weighted": """
         SELECT podcast_id, round(avg(listen_through_rate), 6) AS avg_listen_through_rate,
-               round(CAST(sum(duration_capped_seconds) AS DOUBLE) / CAST(sum(episode_duration_seconds) AS DOUBLE), 6)
+               round(CAST(sum(duration_capped_seconds) AS DOUBLE)
+                   / CAST(nullif(sum(episode_duration_seconds), 0) AS DOUBLE), 6)
                    AS weighted_listen_through_rate
         FROM listens WHERE podcast_id IS NOT NULL GROUP BY podcast_id""",
     "rejections_by_dimension": _union(
@@ -505,4 +508,4 @@ _STATEMENTS = {
         FROM listens GROUP BY exposure_group""",
 }
 
-ORACLE = {name: LAYERS + statement for name, statement in _STATEMENTS.items()}
+ORACLE = {name: f"WITH {SOURCES},{MODELS}{statement}" for name, statement in _STATEMENTS.items()}
