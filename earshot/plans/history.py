@@ -27,7 +27,8 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: S
     snapshot again changes nothing.
 
     Closed rows pass through. The others are one row per key on both sides, so the join has no hot
-    key, and a key that yields two rows does so from the one join.
+    key, and a key that yields two rows does so from the one join. `history` is read twice, so between
+    snapshots it belongs in a written table.
     """
     columns = snapshot.columns
     as_of = as_of.cast("date")

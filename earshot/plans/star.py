@@ -17,6 +17,7 @@ from earshot.plans import staging
 from earshot.sources.inputs import Inputs
 
 # The published tables and their columns, in order.
+EVENTS = "events"
 FACT = "fct_listening_events"
 QUARANTINE = "rejected_event_logs"
 DAILY = "int_user_daily_activity"
@@ -55,6 +56,9 @@ REJECTED_COLUMNS = [
 ]
 # Carried beside the fact, so that no analysis looks the episode up a second time.
 EPISODE_COLUMNS = ["podcast_id", "episode_length_bucket", "is_known_episode"]
+# The one written table of events, valid and rejected, holds each of these once.
+DERIVED_COLUMNS = [c for c in FACT_COLUMNS if c not in (*REJECTED_COLUMNS, "duration_raw_seconds")]
+EVENT_COLUMNS = [*REJECTED_COLUMNS, "is_rejected", *DERIVED_COLUMNS, *EPISODE_COLUMNS]
 
 
 def dim_users(staged_users: DataFrame) -> DataFrame:
@@ -97,7 +101,7 @@ def episode_attributes(episodes: DataFrame) -> DataFrame:
 
 
 def measure(events: DataFrame) -> DataFrame:
-    """Fact columns of events that carry their episode's attributes; an unknown episode left nulls."""
+    """Derived columns of events that carry their episode's attributes; an unknown one left nulls."""
     raw, length = F.col("duration"), F.col("episode_duration_seconds")
     moment, day = F.col("event_datetime"), F.to_date("event_datetime")
     released = F.col("episode_release_date")
@@ -109,7 +113,6 @@ def measure(events: DataFrame) -> DataFrame:
             "event_month": cal.month_of(moment),
             "event_hour_of_day": cal.hour_of(moment),
             "event_day_of_week": cal.day_name(moment),
-            "duration_raw_seconds": raw,
             "duration_capped_seconds": ls.capped(raw, length),
             "duration_exceeds_episode_length": raw.isNotNull() & (raw > length),
             "is_listen_event": listen,
@@ -121,8 +124,10 @@ def measure(events: DataFrame) -> DataFrame:
     )
 
 
-def quarantined(events: DataFrame) -> DataFrame:
-    return events.select(*REJECTED_COLUMNS, F.to_date("event_datetime").alias("event_date"))
+def fact_rows(events: DataFrame) -> DataFrame:
+    """The valid ones of measured events, with the fact's columns and those of the episode."""
+    valid = split_quarantine(events)[0].withColumn("duration_raw_seconds", F.col("duration"))
+    return valid.select(*FACT_COLUMNS, *EPISODE_COLUMNS)
 
 
 def user_daily_activity(valid: DataFrame) -> DataFrame:
@@ -208,8 +213,8 @@ class Star:
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        """Rejected events, with their day where the timestamp was readable."""
-        return quarantined(split_quarantine(self.staged)[1])
+        """Rejected events; nothing has to be looked up for them."""
+        return split_quarantine(self.staged)[1]
 
     @property
     def rejected(self) -> DataFrame:
@@ -224,21 +229,22 @@ class Star:
         return dim_episodes(self.stg_episodes)
 
     @cached_property
-    def events(self) -> DataFrame:
-        """The fact plus the episode columns the analyses group by."""
-        valid = split_quarantine(self.staged)[0]
-        return measure(self.look_up_episodes(valid)).select(*FACT_COLUMNS, *EPISODE_COLUMNS)
+    def classified(self) -> DataFrame:
+        """All staged events, valid and rejected, with everything known about them."""
+        return measure(self.look_up_episodes(self.staged)).select(*EVENT_COLUMNS)
 
     @cached_property
     def event_schema(self) -> T.StructType:
-        """Schema of `events`, without planning the lookup."""
+        """Schema of `classified`, without planning the lookup."""
         attributes = episode_attributes(dim_episodes(self.stg_episodes))
         joined = self.staged.join(attributes, "episode_id", "left")
-        return measure(joined).select(*FACT_COLUMNS, *EPISODE_COLUMNS).schema
+        return measure(joined).select(*EVENT_COLUMNS).schema
 
     @cached_property
-    def quarantine_schema(self) -> T.StructType:
-        return quarantined(self.staged).schema
+    def events(self) -> DataFrame:
+        """The fact plus the episode columns the analyses group by. The validity filter moves below
+        the lookup and the duplicate removal."""
+        return fact_rows(self.classified)
 
     @property
     def fact(self) -> DataFrame:
@@ -293,21 +299,24 @@ class Star:
             frame.createOrReplaceTempView(name)
 
     def write(self, folder: str) -> "StoredStar":
-        """Write the tables once, into a new folder, and return the star that reads them."""
+        """Write the tables once, into a new folder, and return the star that reads them. The log is
+        read and shuffled once for the fact and the quarantine together."""
         self.dim_users.write.parquet(os.path.join(folder, "dim_users"))
         self.dim_episodes.write.parquet(os.path.join(folder, "dim_episodes"))
-        write_by_day(self.events, os.path.join(folder, FACT))
-        write_by_day(self.quarantine, os.path.join(folder, QUARANTINE))
+        write_events(self.classified, folder)
         stored = StoredStar(folder, self.inputs, self.broadcast_limit)
         user_daily_activity(stored.events).write.parquet(os.path.join(folder, DAILY))
         user_engagement(stored.events, stored.dim_users).write.parquet(os.path.join(folder, MART))
         return stored
 
 
-def write_by_day(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Partitions by day. The rebalance hint lets Spark split a day that holds a large share of the
-    rows and merge small ones, so files come out evenly sized and no task writes a whole hot day."""
-    events.hint("rebalance", "event_date").write.partitionBy("event_date").mode(mode).parquet(path)
+def write_events(events: DataFrame, folder: str, mode: str = "errorifexists") -> None:
+    """One table, partitioned by validity and day: the fact and the quarantine are read from their own
+    folders of it, and both change in one step. The rebalance hint lets Spark split a day that holds a
+    large share of the rows and merge small ones, so no task writes a whole hot day."""
+    partitions = ["is_rejected", "event_date"]
+    writer = events.hint("rebalance", *partitions).write.partitionBy(*partitions)
+    writer.mode(mode).parquet(os.path.join(folder, EVENTS))
 
 
 class StoredStar(Star):
@@ -320,12 +329,6 @@ class StoredStar(Star):
     def _read(self, name: str) -> DataFrame:
         return self.inputs.users.sparkSession.read.parquet(os.path.join(self.folder, name))
 
-    def _read_by_day(self, name: str, schema: T.StructType) -> DataFrame:
-        """The schema is given: a table without rows, or without any known day, does not tell it."""
-        path = os.path.join(self.folder, name)
-        reader = self.inputs.users.sparkSession.read.schema(schema)
-        return reader.parquet(path).select(*schema.fieldNames())
-
     @cached_property
     def dim_users(self) -> DataFrame:
         return self._read("dim_users")
@@ -335,12 +338,14 @@ class StoredStar(Star):
         return self._read("dim_episodes")
 
     @cached_property
-    def quarantine(self) -> DataFrame:
-        return self._read_by_day(QUARANTINE, self.quarantine_schema)
+    def classified(self) -> DataFrame:
+        """The schema is given: a table without rows, or without any known day, does not tell it."""
+        reader = self.inputs.users.sparkSession.read.schema(self.event_schema)
+        return reader.parquet(os.path.join(self.folder, EVENTS)).select(*EVENT_COLUMNS)
 
     @cached_property
-    def events(self) -> DataFrame:
-        return self._read_by_day(FACT, self.event_schema)
+    def quarantine(self) -> DataFrame:
+        return split_quarantine(self.classified)[1]
 
     @cached_property
     def daily_activity(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from earshot.plans.star import FACT, QUARANTINE, Star, write_by_day
+from earshot.plans.star import EVENTS, Star, write_events
 from earshot.sources.inputs import Inputs
 
 MAX_LISTED_DAYS = 1000
@@ -20,23 +20,26 @@ def load_increment(batch: Inputs, folder: str, lookback_days: int | None = None)
 
     An event's id is a function of its raw content, and so is its day. Loading the same rows again,
     after a failure or in an overlapping batch, therefore adds nothing, and what is already loaded has
-    to be searched only in the days the batch touches. A job that dies between the two tables, or
-    while one is being written, is repaired by running it again.
+    to be searched only in the days the batch touches. Valid and rejected events are added in one
+    write; one that died is repaired by running it again.
 
-    With `lookback_days`, events more than that many days older than the newest one loaded are left
-    out, as a log that is known to arrive in order allows. By default a late event is loaded like any.
+    With `lookback_days`, valid events more than that many days older than the newest one loaded are
+    left out, as a log that is known to arrive in order allows. By default a late event is loaded like
+    any other.
     """
     star = Star(batch)
-    events = star.events
-    fact, quarantine = os.path.join(folder, FACT), os.path.join(folder, QUARANTINE)
-    if lookback_days is not None:
-        loaded = _read_if_there(fact, events)
-        if loaded is not None:
-            newest = loaded.agg(F.date_sub(F.max("event_date"), lookback_days).alias("day")).scalar()
-            events = events.where(F.col("event_date") >= F.coalesce(newest, F.col("event_date")))
-    days = _touched(star.flagged_log.select(F.to_date("event_datetime").alias("event_date")))
-    _append(events, fact, days)
-    _append(star.quarantine, quarantine, days)
+    new = star.classified
+    loaded = _loaded(new, folder)
+    if loaded is not None:
+        if lookback_days is not None:
+            newest = loaded.where("NOT is_rejected").agg(F.max("event_date").alias("day"))
+            first = newest.select(F.date_sub("day", lookback_days)).scalar()
+            new = new.where(F.col("is_rejected") | first.isNull() | (F.col("event_date") >= first))
+        days = _touched(star.flagged_log.select(F.to_date("event_datetime").alias("event_date")))
+        if days is not None:
+            loaded = loaded.where(_on_days(days))
+        new = new.join(loaded.select("event_id"), "event_id", "left_anti").select(*new.columns)
+    write_events(new, folder, mode="append")
 
 
 def stream_increments(
@@ -64,24 +67,16 @@ def _touched(days: DataFrame) -> list | None:
     return None if len(found) > MAX_LISTED_DAYS else [row["event_date"] for row in found]
 
 
-def _read_if_there(path: str, like: DataFrame) -> DataFrame | None:
+def _loaded(like: DataFrame, folder: str) -> DataFrame | None:
+    """What the folder holds, or None before the first load."""
     try:
-        return like.sparkSession.read.schema(like.schema).parquet(path)
+        return like.sparkSession.read.schema(like.schema).parquet(os.path.join(folder, EVENTS))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def _append(new: DataFrame, path: str, days: list | None) -> None:
-    loaded = _read_if_there(path, new)
-    if loaded is not None:
-        if days is not None:
-            loaded = loaded.where(_on_days(days))
-        new = new.join(loaded.select("event_id"), "event_id", "left_anti").select(*new.columns)
-    write_by_day(new, path, mode="append")
-
-
 def _on_days(days: list) -> Column:
     """Among the days, of which null (no readable time) may be one."""
     known = [day for day in days if day is not None]

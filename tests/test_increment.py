@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from earshot import Inputs
-from earshot.plans.star import StoredStar
+from earshot.plans.star import StoredStar, write_events
 from earshot.session import shared_folder
 from earshot.streaming.increment import _on_days, load_increment, stream_increments
 from tests.frames import event, inputs, plan_of, rows, star
@@ -33,10 +33,10 @@ def test_overlapping_loads_and_reruns(spark):
     assert ids(folder, everything) == expected(spark)
 
 
-def test_a_load_that_died_between_the_tables_is_repaired(spark):
+def test_a_load_that_wrote_only_some_rows_is_repaired(spark):
     folder = shared_folder(spark, "inc")
     everything = inputs(spark, EARLY + LATE)
-    load_increment(inputs(spark, [e for e in EARLY + LATE if star(spark, [e]).rejected.isEmpty()]), folder)
+    write_events(star(spark, EARLY + LATE).classified.where("user_id = 'ann' AND NOT is_rejected"), folder)
     load_increment(everything, folder)
     assert ids(folder, everything) == expected(spark)
 
