@@ -28,6 +28,18 @@ def build_session(master: str = "local[*]", app_name: str = "earshot", **extra:
     return builder.getOrCreate()
 
 
+def settings_for(log_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a log of that size: the one big shuffle carries about as much as the log has, so it
+    is cut into partitions an executor core can hold, which adaptive execution merges where less is left.
+    """
+    partitions = max(200, -(-log_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below `spark.checkpoint.dir`, which every executor can reach.
 

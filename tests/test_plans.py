@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from earshot import Star
 from earshot.plans import analyses
-from earshot.session import shared_folder
+from earshot.session import settings_for, shared_folder
 from earshot.sources.retail import from_retail
 from tests.frames import event, inputs, plan_of, star
 
@@ -82,3 +82,13 @@ def test_written_fact_is_read_by_column_and_by_day(spark):
     assert "event_id" not in schema and "duration_raw" not in schema and "listen_through_rate" in schema
     recent = plan_of(analyses.top_completed_episodes(stored, days=7))
     assert any("event_date" in line and "subquery" in line.lower() for line in recent.splitlines() if "PartitionFilters" in line)
+
+
+def test_settings_grow_with_the_log():
+    small, large = settings_for(10**9), settings_for(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) * 256 * 1024**2 >= 100 * 10**12
+
+
+def test_folders_are_made_where_the_session_says(spark):
+    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
