@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 READABLE_TIMESTAMP = (
     r"^([0-9]{4}([-/])[0-9]{1,2}\2[0-9]{1,2}"
     r"(?:[ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:[.][0-9]*)?)?)?)"
-    r"(?:(?<=:[0-9.]{1,12}) ?(?:Z|UTC|[+-][0-9]{2}(?::?[0-9]{2})?))?$"
+    r"(?:(?<=:[0-9.]{1,12})(?: UTC| ?Z| ?[+-][0-9]{2}(?::?[0-9]{2})?))?$"
 )
 # The spelling nearly every log uses, which needs no rewriting; part of the grammar above.
 USUAL_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"

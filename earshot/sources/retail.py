@@ -73,7 +73,7 @@ ENTRY = """
                            ELSE CAST(get_json_object(props, '$.k') AS BIGINT) END,
         'timestamp', CASE WHEN event_id % 181 = 5 OR event_id % 415 = 5 THEN NULL
                           WHEN event_id % 277 = 5 OR event_id % 830 = 88 THEN 'malformed-date'
-                          ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") END,
+                          ELSE replace(substr(CAST(ts AS STRING), 1, 19), ' ', 'T') END,
         'duration', IF(kind IN ('play', 'complete') AND event_id % 331 != 6,
                        CAST(1 + floor(20 * value) AS BIGINT), NULL))"""
 

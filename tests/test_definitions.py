@@ -33,6 +33,7 @@ UNREADABLE = [
     "malformed-date", "", "2025", "2025-01", "10:00", "now", "today", " 2025-01-01 ", "2025-01-01 ",
     "2025-02-30", "2025-02-29", "2025-13-01", "01/02/2025", "2025-01/01", "2025-01-01T10", "2025-01-01Z",
     "2025-01-01T25:00:00", "2025-01-01T10:00:60", "2025-01-01t10:00:00", "20250101", "2025-01-01T10:00:00+2",
+    "2025-01-01T10:00:00UTC",
 ]
 
 
