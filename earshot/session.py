@@ -43,9 +43,12 @@ def settings_for(log_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> di
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below `spark.checkpoint.dir`, which every executor can reach.
 
-    Only where the session names none (tests, local runs) is a local temporary folder used.
+    Where the session names none, a temporary folder of this machine is used under a local master
+    (tests, trial runs), whose only executor is the driver; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="earshot-")
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
