@@ -168,6 +168,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
 }
 
+ORACLES: dict[str, str] = dict(ORACLE)
+
+# The operators for training data and their pipeline are an optional part.
+try:
+    import corpus_pipeline
+    from earshot.llm.queries import LLM_ORACLE, LLM_QUERIES
+except ModuleNotFoundError as absent:
+    if absent.name not in ("earshot.llm", "corpus_pipeline"):
+        raise
+else:
+    QUERIES.update(LLM_QUERIES)
+    ORACLES.update(LLM_ORACLE)
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Mean listen-through rate by country: touches every layer of the engine."""
@@ -179,4 +195,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLES)
