@@ -65,7 +65,7 @@ def places(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(packed)
         at = (_mixed(keys[left], level) % np.uint64(len(bits))).astype(np.int64)
         found = bits[at] == 1
-        rank = np.cumsum(bits) - 1
+        rank = np.cumsum(bits, dtype=np.int64) - 1
         out[left[found]] = before + rank[at[found]]
         before += int(rank[-1]) + 1
         left = left[~found]

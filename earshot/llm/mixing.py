@@ -155,7 +155,7 @@ def mix(
         blocks,
         F.col("source").eqNullSafe(F.col("_s")) & (F.col("epoch") == F.col("_e")) & (F.col("block") == F.col("_b")),
     )
-    within = Window.partitionBy("_s", "_e", "_b").orderBy("_order", "doc_id", "text")
+    within = Window.partitionBy("_s", "_e", "_b").orderBy("_order", "doc_id")
     placed = chosen.withColumn(
         "_at",
         F.col("_before") + F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"),
