@@ -172,7 +172,9 @@ def _verified(asked: DataFrame, texts: DataFrame, k: int, least: float) -> DataF
     leaders = counted.withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).select(
         F.col("b").alias("_id"), F.xxhash64("b", "_slot").alias("unit"), F.lit(0).alias("side")
     )
-    rows = texts.select(F.col("doc_id").alias("_id"), "text").join(stored(members.union(leaders), "asked"), "_id")
+    # Both sides grow with the input, so neither is broadcast.
+    both = stored(members.union(leaders), "asked").hint("merge")
+    rows = texts.select(F.col("doc_id").alias("_id"), "text").join(both, "_id")
 
     def run(batches):
         for table in runs(batches, "unit"):
@@ -211,11 +213,13 @@ def near_duplicates(
 
     1. Documents equal after normalizing are one.
     2. In every bucket all members are compared with the smallest; groups follow from the links found.
-    3. In a bucket whose members are in several groups, members of different groups are compared, all
-       but those of its largest group among themselves, in blocks of bounded size. Pairs that
-       512 bins of a signature put far below `least` need no texts; the rest are aligned.
+    3. In a bucket whose members are in several groups, signatures of members of different groups are
+       compared, in blocks of bounded size. Pairs whose signature of 512 bins puts them far below
+       `least` need no texts. Of the others a block names those that would join its groups with the
+       fewest comparisons, the likeliest first; they are aligned, and groups follow.
+    4. What still lies in different groups is aligned, pair by pair.
 
-    So a group of copies costs one comparison a copy, not one a pair.
+    So a group of copies costs about one comparison a copy, not one a pair.
 
     Null, empty and blank texts have no words and are groups of their own. Texts of fewer than `k` words
     are compared whole. Rows with equal doc_id are one document. Null doc_id: class_id is null, the
@@ -235,16 +239,17 @@ def near_duplicates(
     shared = entries.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first != last")
     members = stored(entries.join(shared.select("key", "first"), "key"), "buckets")
 
-    texts = known.select("doc_id", "text")
+    asked = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = stored(known.select("doc_id", "text").join(asked, "doc_id", "left_semi"), "texts")
     star = members.where("rep != first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
     star = stored(star, "star")
-    links = stored(_verified(star, texts, k, least).select("a", "b"), "links")
-    found = links.union(same)
-    groups = components(found)
-
-    rest = _across_groups(members, groups, reps, star, least, block)
-    more = _verified(rest, texts, k, least).select("a", "b")
-    every = components(found.union(stored(more, "links"))).select(F.col("id").alias("_id"), "component")
+    found = stored(_verified(star, texts, k, least).select("a", "b"), "links").union(same)
+    tested = star
+    for spanning in (True, False):
+        pairs = _across_groups(members, components(found), reps, tested, least, block, spanning)
+        found = found.union(stored(_verified(pairs, texts, k, least).select("a", "b"), "links"))
+        tested = tested.union(pairs)
+    every = components(found).select(F.col("id").alias("_id"), "component")
     return (
         docs.select("doc_id")
         .join(every, F.col("doc_id") == F.col("_id"), "left")
@@ -252,11 +257,36 @@ def near_duplicates(
     )
 
 
+def _joining(order: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Of the pairs (a, b), taken in `order`, those that join what no pair before them has joined."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    taken = []
+    for at in order.tolist():
+        low, high = top(int(a[at])), top(int(b[at]))
+        if low != high:
+            root[high] = low
+            taken.append(at)
+    return taken
+
+
 def _across_groups(
-    members: DataFrame, groups: DataFrame, reps: DataFrame, tested: DataFrame, least: float, block: int
+    members: DataFrame,
+    groups: DataFrame,
+    reps: DataFrame,
+    tested: DataFrame,
+    least: float,
+    block: int,
+    spanning: bool,
 ) -> DataFrame:
     """(a, b): candidates of different groups that share a bucket and were not `tested`, as far as their
-    signatures allow `least`."""
+    signatures allow `least`; with `spanning` only those that would join the groups of a block."""
     grouped = members.select("key", "rep").join(groups, F.col("rep") == F.col("id"), "left")
     grouped = grouped.select("key", "rep", F.coalesce("component", "rep").alias("grp"))
     split = grouped.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
@@ -279,18 +309,22 @@ def _across_groups(
             keys = np.stack([np.asarray(x.values) for x in table.column("keys").combine_chunks()])
             marks = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("signature").combine_chunks()])
             here = int(np.flatnonzero((keys == table.column("key")[0].as_py()).all(axis=0))[0])
-            left = np.flatnonzero(side != 1)
-            for i in left:
+            chosen: list[tuple[np.ndarray, ...]] = []
+            for i in np.flatnonzero(side != 1):
                 right = np.flatnonzero(side == 1) if side[i] == 0 else np.flatnonzero((side == 2) & (rep > rep[i]))
                 right = right[grp[right] != grp[i]]
                 # A pair is looked at in the first bucket that it shares.
                 right = right[~(keys[right, :here] == keys[i, :here]).any(axis=1)]
-                if not len(right):
-                    continue
-                near = right[estimate(marks[right], marks[i : i + 1]) >= least - SLACK]
-                if len(near):
-                    low, high = np.minimum(rep[near], rep[i]), np.maximum(rep[near], rep[i])
-                    yield high, low
+                likely = estimate(marks[right], marks[i : i + 1])
+                near = likely >= least - SLACK
+                if near.any():
+                    chosen.append((likely[near], np.full(near.sum(), i), right[near]))
+            if chosen:
+                likely, i, j = (np.concatenate(x) for x in zip(*chosen))
+                if spanning:
+                    take = _joining(np.argsort(-likely, kind="stable"), grp[i], grp[j])
+                    i, j = i[take], j[take]
+                yield np.maximum(rep[i], rep[j]), np.minimum(rep[i], rep[j])
 
     pairs = map_arrow(by_unit(rows, "unit"), run, "a long, b long").distinct()
     return stored(pairs.join(tested, ["a", "b"], "left_anti"), "rest")
