@@ -159,11 +159,11 @@ def pack(
     everything = int(length.sum())
 
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = by_part.select(
+    starts = stored(by_part.select(
         F.col("source").alias("_source"),
         F.col("part").alias("_part"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("base"),
-    )
+    ), "starts")
     placed = tokens.join(
         starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part"))
     ).select("doc_id", "source", (F.col("base") + F.col("before")).alias("at"), "ids")
