@@ -129,13 +129,15 @@ def build_index(keys: DataFrame, least_docs: int, shard_keys: int = 20_000) -> t
     return stored(map_arrow(dealt, run, schema), "line-index"), n_shards
 
 
-def probe(keys: DataFrame, index: DataFrame, n_shards: int, piece: int = 100_000) -> DataFrame:
+def probe(keys: DataFrame, index: DataFrame, n_shards: int, most: int = 100_000) -> DataFrame:
     """(doc_id, drops): per document the keys that the index gives to another document.
 
-    A document's keys go to their shards; a shard that many documents ask is copied for every `piece`
-    of askers, told from the counts in its own array. So no shard and no line, however common, is met
-    by more than about that many rows in a task.
+    A document's keys go to their shards; a shard that many documents ask is copied for every quarter of a
+    task's even share of the askers, and for every `most` of them, as the counts in its own array tell. So no shard
+    and no line, however common, is met by more than about that many rows in a task.
     """
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece = max(100, min(most, keys.count() // (4 * tasks)))
 
     def slots(batches):
         for batch in batches:
