@@ -100,7 +100,7 @@ def near_vectors(
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     sizes = rows.where("embedding is not null").groupBy(F.size("embedding").alias("width")).count()
     common = sizes.orderBy(F.desc("count"), "width").first()
-    width = common["width"] if common else 0
+    width = max(1, common["width"]) if common else 1
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = (F.size("embedding") == width) & finite & F.exists("embedding", lambda x: x != 0)
     distinct = stored(
