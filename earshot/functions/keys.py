@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the key format: the text that stands for null, and the separator.
-NULL_TEXT = "_null_"
-SEPARATOR = "|"
+# Fixed values of the key format: what stands for null, and what ends the length before a text.
+NULL_MARK = "n"
+LENGTH_END = ":"
 
 
 def surrogate_key(*columns: str) -> Column:
     """md5 over the named columns as text, in the order given.
 
-    Null is hashed as a value of its own, so it differs from the empty string and two rows that are
-    null in the same places can share a key.
+    Each text stands behind its length, and null is a mark that no length begins with, so different rows
+    never hash the same input; two rows that are null in the same places share a key.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in columns]
-    return F.md5(F.concat_ws(SEPARATOR, *parts))
+
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        coded = F.concat(F.char_length(text).cast("string"), F.lit(LENGTH_END), text)
+        return F.coalesce(coded, F.lit(NULL_MARK))
+
+    return F.md5(F.concat(*[part(c) for c in columns]))

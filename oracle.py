@@ -56,10 +56,11 @@ once AS (
     FROM log GROUP BY ALL
 ),
 parsed AS (
-    SELECT md5(concat_ws('|', coalesce(event_type, '_null_'), coalesce(CAST(user_id AS VARCHAR), '_null_'),
-                         coalesce(CAST(episode_id AS VARCHAR), '_null_'),
-                         coalesce(event_timestamp_raw, '_null_'),
-                         coalesce(CAST(duration AS VARCHAR), '_null_'))) AS event_id,
+    SELECT md5(coalesce(length(event_type) || ':' || event_type, 'n') ||
+               coalesce(length(CAST(user_id AS VARCHAR)) || ':' || CAST(user_id AS VARCHAR), 'n') ||
+               coalesce(length(CAST(episode_id AS VARCHAR)) || ':' || CAST(episode_id AS VARCHAR), 'n') ||
+               coalesce(length(event_timestamp_raw) || ':' || event_timestamp_raw, 'n') ||
+               coalesce(length(CAST(duration AS VARCHAR)) || ':' || CAST(duration AS VARCHAR), 'n')) AS event_id,
            *, TRY_CAST(event_timestamp_raw AS TIMESTAMP) AS event_datetime
     FROM once
 ),

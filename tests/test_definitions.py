@@ -61,6 +61,12 @@ def test_null_in_key_is_a_value_of_its_own(spark):
     assert keys[0] == keys[3] and len(set(keys)) == 3
 
 
+def test_different_rows_have_different_keys(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "n"), ("n", None), ("_null_", "x"), (None, "x"), ("1:a", ""), ("", "1:a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(surrogate_key("x", "y")).distinct().count() == len(rows)
+
+
 def test_length_buckets(spark):
     df = spark.createDataFrame([(s,) for s in (1199, 1200, 2699, 2700, None)], "s long")
     assert [r[0] for r in df.select(length_bucket(F.col("s"))).collect()] == [
