@@ -300,13 +300,17 @@ class Star:
 
     def write(self, folder: str) -> "StoredStar":
         """Write the tables once, into a new folder, and return the star that reads them. The log is
-        read and shuffled once for the fact and the quarantine together."""
-        self.dim_users.write.parquet(os.path.join(folder, "dim_users"))
-        self.dim_episodes.write.parquet(os.path.join(folder, "dim_episodes"))
+        read and cleaned once for the fact and the quarantine together, then dealt out by day."""
         write_events(self.classified, folder)
+        return self.write_derived(folder)
+
+    def write_derived(self, folder: str, mode: str = "errorifexists") -> "StoredStar":
+        """Write the dimensions, and what follows from the events that `folder` holds."""
+        self.dim_users.write.mode(mode).parquet(os.path.join(folder, "dim_users"))
+        self.dim_episodes.write.mode(mode).parquet(os.path.join(folder, "dim_episodes"))
         stored = StoredStar(folder, self.inputs, self.broadcast_limit)
-        user_daily_activity(stored.events).write.parquet(os.path.join(folder, DAILY))
-        user_engagement(stored.events, stored.dim_users).write.parquet(os.path.join(folder, MART))
+        user_daily_activity(stored.events).write.mode(mode).parquet(os.path.join(folder, DAILY))
+        user_engagement(stored.events, stored.dim_users).write.mode(mode).parquet(os.path.join(folder, MART))
         return stored
 
 

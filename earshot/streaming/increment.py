@@ -12,38 +12,45 @@ from pyspark.sql.streaming import StreamingQuery
 from earshot.plans.star import EVENTS, Star, write_events
 from earshot.sources.inputs import Inputs
 
-MAX_LISTED_DAYS = 1000
 
-
-def load_increment(batch: Inputs, folder: str, lookback_days: int | None = None) -> None:
+def load_increment(batch: Inputs, folder: str, refresh: bool = True) -> None:
     """Add the events of `batch.event_logs` that `folder` does not hold yet.
 
     An event's id is a function of its raw content, and so is its day. Loading the same rows again,
-    after a failure or in an overlapping batch, therefore adds nothing, and what is already loaded has
-    to be searched only in the days the batch touches. Valid and rejected events are added in one
-    write; one that died is repaired by running it again.
-
-    With `lookback_days`, valid events more than that many days older than the newest one loaded are
-    left out, as a log that is known to arrive in order allows. By default a late event is loaded like
-    any other.
+    after a failure or in an overlapping batch, therefore adds nothing, and what is already loaded is
+    searched in the days the batch touches: partitions between the first and the last of them are read, and
+    joined with the days. Valid and rejected events, however
+    late, are added in one write; one that died is repaired by running it again.
+
+    With `refresh` the dimensions of the batch, the daily activity and the user mart are written anew
+    from the events, so that all tables of the folder agree; without it, `refresh_tables` has to be called
+    after the last of several loads.
     """
     star = Star(batch)
     new = star.classified
     loaded = _loaded(new, folder)
     if loaded is not None:
-        if lookback_days is not None:
-            newest = loaded.where("NOT is_rejected").agg(F.max("event_date").alias("day"))
-            first = newest.select(F.date_sub("day", lookback_days)).scalar()
-            new = new.where(F.col("is_rejected") | first.isNull() | (F.col("event_date") >= first))
-        days = _touched(star.flagged_log.select(F.to_date("event_datetime").alias("event_date")))
-        if days is not None:
-            loaded = loaded.where(_on_days(days))
-        new = new.join(loaded.select("event_id"), "event_id", "left_anti").select(*new.columns)
+        days = star.flagged_log.select(F.to_date("event_datetime").alias("_day")).distinct()
+        searched = loaded.where(_within(days)).join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
+        new = new.join(searched.select("event_id"), "event_id", "left_anti").select(*new.columns)
     write_events(new, folder, mode="append")
+    if refresh:
+        refresh_tables(batch, folder)
+
+
+def refresh_tables(inputs: Inputs, folder: str) -> None:
+    """Write the dimensions of `inputs` and, from the stored events, the daily activity and the user
+    mart: each is one grouping of the fact, as in a first write."""
+    Star(inputs).write_derived(folder, "overwrite")
 
 
 def stream_increments(
-    log: DataFrame, dimensions: Inputs, folder: str, checkpoint: str, available_now: bool = True
+    log: DataFrame,
+    dimensions: Inputs,
+    folder: str,
+    checkpoint: str,
+    available_now: bool = True,
+    refresh: bool = True,
 ) -> StreamingQuery:
     """Run `load_increment` on every micro-batch of a streaming log.
 
@@ -54,19 +61,12 @@ def stream_increments(
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        load_increment(Inputs(dimensions.users, dimensions.episodes, batch), folder)
+        load_increment(Inputs(dimensions.users, dimensions.episodes, batch), folder, refresh)
 
     writer = log.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _touched(days: DataFrame) -> list | None:
-    """The days of the batch, for partition pruning, or None (search everything) if it has too many
-    to list - a log with a wild spread of dates must not fill the driver."""
-    found = days.distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return None if len(found) > MAX_LISTED_DAYS else [row["event_date"] for row in found]
-
-
 def _loaded(like: DataFrame, folder: str) -> DataFrame | None:
     """What the folder holds, or None before the first load."""
     try:
@@ -77,8 +77,9 @@ def _loaded(like: DataFrame, folder: str) -> DataFrame | None:
         raise
 
 
-def _on_days(days: list) -> Column:
-    """Among the days, of which null (no readable time) may be one."""
-    known = [day for day in days if day is not None]
-    on_known = F.col("event_date").isin(known) if known else F.lit(False)
-    return on_known if len(known) == len(days) else on_known | F.col("event_date").isNull()
+def _within(days: DataFrame) -> Column:
+    """Between the first and the last of the days, or without one if the days have a null: a filter on
+    the partitions. One line of the batch goes to the driver."""
+    first, last, unknown = days.agg(F.min("_day"), F.max("_day"), F.count_if(F.col("_day").isNull())).first()
+    known = F.col("event_date").between(first, last) if first is not None else F.lit(False)
+    return known | F.col("event_date").isNull() if unknown else known

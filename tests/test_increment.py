@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from earshot import Inputs
 from earshot.plans.star import StoredStar, write_events
 from earshot.session import shared_folder
-from earshot.streaming.increment import _on_days, load_increment, stream_increments
+from earshot.streaming.increment import _within, load_increment, stream_increments
 from tests.frames import event, inputs, plan_of, rows, star
 
 EARLY = [event(), event(), event(user=None), event(kind=None, at=None, seconds=None)]
@@ -41,17 +41,16 @@ def test_a_load_that_wrote_only_some_rows_is_repaired(spark):
     assert ids(folder, everything) == expected(spark)
 
 
-def test_lookback_leaves_older_events_out(spark):
+def test_late_events_are_loaded_and_counted(spark):
     folder = shared_folder(spark, "inc")
-    load_increment(inputs(spark, [event(at="2024-03-09T08:00:00")]), folder, lookback_days=2)
-    late = [event(at="2024-03-06T23:00:00"), event(at="2024-03-07T00:00:00"), event(at="2024-03-10")]
-    load_increment(inputs(spark, late), folder, lookback_days=2)
-    days = rows(StoredStar(folder, inputs(spark, [])).events.select(F.col("event_date").cast("string")), "event_date")
-    assert days == [("2024-03-07",), ("2024-03-09",), ("2024-03-10",)]
+    load_increment(inputs(spark, [event(at="2024-03-09T08:00:00")]), folder)
+    late = [event(at="2023-03-06T23:00:00"), event(at="2024-03-07T00:00:00"), event(at="2024-03-10"), event(at="?")]
+    load_increment(inputs(spark, late), folder)
+    stored = StoredStar(folder, inputs(spark, []))
+    assert (stored.events.count(), stored.quarantine.count()) == (4, 1)
 
 
-def test_a_log_with_very_many_days_is_searched_whole(spark, monkeypatch):
-    monkeypatch.setattr("earshot.streaming.increment.MAX_LISTED_DAYS", 1)
+def test_days_far_apart_are_searched(spark):
     folder = shared_folder(spark, "inc")
     everything = inputs(spark, EARLY + LATE)
     load_increment(everything, folder)
@@ -62,13 +61,24 @@ def test_a_log_with_very_many_days_is_searched_whole(spark, monkeypatch):
 def test_search_is_pruned_to_the_days_of_the_batch(spark):
     folder = shared_folder(spark, "inc")
     load_increment(inputs(spark, EARLY + LATE), folder)
-    days = [dt.date(2024, 3, 9), None]
-    stored = StoredStar(folder, inputs(spark, [])).quarantine.where(_on_days(days))
+    days = spark.createDataFrame([(dt.date(2024, 3, 9),), (None,)], "_day date")
+    stored = StoredStar(folder, inputs(spark, [])).quarantine.where(_within(days))
     (filters,) = [line for line in plan_of(stored).splitlines() if line.startswith("PartitionFilters")]
     assert "event_date" in filters and "2024-03-09" in filters and "isnull" in filters
     assert stored.count() == 2
 
 
+def test_derived_tables_follow_every_load(spark):
+    folder = shared_folder(spark, "inc")
+    load_increment(inputs(spark, EARLY), folder)
+    everything = inputs(spark, EARLY + LATE)
+    load_increment(everything, folder)
+    stored, fresh = StoredStar(folder, everything), star(spark, EARLY + LATE)
+    for table in ("dim_users", "dim_episodes", "daily_activity", "engagement"):
+        got, want = (getattr(s, table).drop("data_refreshed_on") for s in (stored, fresh))
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_stream_equals_batch_and_survives_a_replay(spark):
     folder, source = shared_folder(spark, "stream"), shared_folder(spark, "source")
     everything = inputs(spark, EARLY + LATE)
