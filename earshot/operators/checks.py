@@ -19,7 +19,8 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _report(check: str, target: str, one_number: DataFrame) -> DataFrame:
+def report(check: str, target: str, one_number: DataFrame) -> DataFrame:
+    """One row of a report, from a frame of one number."""
     return one_number.select(
         F.lit(check).alias("check"),
         F.lit(target).alias("target"),
@@ -50,7 +51,7 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, target: str, *keys: str, check: str = "unique") -> DataFrame:
-    return _report(check, target, duplicate_keys(df, *keys).agg(F.count(F.lit(1))))
+    return report(check, target, duplicate_keys(df, *keys).agg(F.count(F.lit(1))))
 
 
 def check_key(df: DataFrame, target: str, key: str) -> DataFrame:
@@ -119,17 +120,17 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
 def check_references(
     child: DataFrame, target: str, foreign_key: str, parent: DataFrame, key: str
 ) -> DataFrame:
-    return _report("relationships", target, orphans(child, foreign_key, parent, key).agg(F.sum("rows")))
+    return report("relationships", target, orphans(child, foreign_key, parent, key).agg(F.sum("rows")))
 
 
 def check_disjoint(left: DataFrame, right: DataFrame, key: str, target: str) -> DataFrame:
     """Keys present on both sides."""
     both = left.select(key).intersect(right.select(key))
-    return _report("exclusive_split", target, both.agg(F.count(F.lit(1))))
+    return report("exclusive_split", target, both.agg(F.count(F.lit(1))))
 
 
 def check_parts_sum(whole: DataFrame, parts: list[DataFrame], target: str) -> DataFrame:
     """1 when the row counts of the parts do not add up to the whole, else 0."""
     counts = [whole.agg(F.count(F.lit(1)).alias("n"))]
     counts += [part.agg((-F.count(F.lit(1))).alias("n")) for part in parts]
-    return _report("reconciliation", target, union_all(counts).agg((F.sum("n") != 0).cast("long")))
+    return report("reconciliation", target, union_all(counts).agg((F.sum("n") != 0).cast("long")))

@@ -103,3 +103,9 @@ def test_written_star_is_the_same_and_clean(spark):
         assert rows(stored.models()[name], *columns) == rows(frame, *columns), name
     quality.require_clean(quality.check_report(stored))
     assert stored.last_event_date.first()[0] == s.last_event_date.first()[0]
+
+
+def test_capped_duration_is_held_against_the_dimension(spark):
+    whole = star(spark, [event()]).write(shared_folder(spark, "star"))
+    whole.dim_episodes = whole.dim_episodes.withColumn("duration_seconds", F.lit(10))
+    assert failing(quality.check_capped_le_length(whole)) == {("capped_le_length", "fct_listening_events"): 1}
