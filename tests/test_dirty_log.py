@@ -53,7 +53,7 @@ def dirty(spark):
     return folder_of, con
 
 
-@pytest.mark.parametrize("name", [n for n in entry.QUERIES if n not in OTHER_INPUTS])
+@pytest.mark.parametrize("name", [n for n in entry.ORACLE if n not in OTHER_INPUTS])
 def test_dirty_log(spark, dirty, monkeypatch, name):
     made, con = dirty
     monkeypatch.setattr(entry.retail, "from_retail", lambda *_: made)

@@ -11,7 +11,7 @@ from tests.frames import event, inputs, plan_of, star
 
 FOLDER = "/root/testdata/sf0.001"
 WRITING = ("check_report", "csv_round_trip", "incremental_fact", "incremental_fact_stream")
-LAZY = [n for n in entry.QUERIES if n not in WRITING]
+LAZY = [n for n in entry.ORACLE if n not in WRITING]
 
 
 @pytest.fixture(scope="module")
