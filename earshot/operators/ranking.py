@@ -21,7 +21,8 @@ def best_per_group(df: DataFrame, group: str, metric: str, *tie_break: str) -> D
     group's total as `total_<metric>`.
 
     An aggregate and not a row number: rows merge in the map tasks, so a group of any size reaches
-    the shuffle as one row per task, and nothing is sorted. The tie-break columns have to make the
+    the shuffle as one row per task. Spark sorts a task's rows by group for it, as a minimum of structs
+    has no fixed width, but never the rows of a group among themselves. The tie-break columns have to make the
     order total, or the choice among equals is open.
     """
     others = [c for c in df.columns if c not in (group, metric, *tie_break)]
