@@ -85,14 +85,20 @@ def _dim_users_history(spark: SparkSession, folder: str) -> DataFrame:
     return versions
 
 
-def _incremental_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """A first load of the earlier events, then a second one of everything, which repeats them."""
+def _loaded_twice(spark: SparkSession, folder: str) -> StoredStar:
+    """A first load of the earlier events, when every seventh episode is not known yet, then a second
+    one of everything, which repeats them."""
     inputs = retail.from_retail(spark, folder)
     earlier = inputs.event_logs.where(F.col("timestamp") < "2024-01-20")
+    known = inputs.episodes.where(F.col("episode_id") % 7 != 3)
     target = shared_folder(spark, "increment")
-    load_increment(Inputs(inputs.users, inputs.episodes, earlier), target)
+    load_increment(Inputs(inputs.users, known, earlier), target)
     load_increment(inputs, target)
-    return _timeless(StoredStar(target, inputs).fact)
+    return StoredStar(target, inputs)
+
+
+def _on_loaded(build: Callable[[Star], DataFrame], *rounded: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: _rounded(_timeless(build(_loaded_twice(spark, folder))), *rounded)
 
 
 def _incremental_fact_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,12 +148,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # Files out and in again.
     "csv_round_trip": _csv_round_trip,
     # Further questions, and loading bit by bit.
-    "incremental_fact": _incremental_fact,
+    "incremental_fact": _on_loaded(lambda s: s.fact),
+    "incremental_daily_activity": _on_loaded(lambda s: s.daily_activity),
+    "incremental_mart": _on_loaded(lambda s: s.engagement, RATE),
+    "check_derived_tables": _on_loaded(quality.check_derived_tables),
     "incremental_fact_stream": _incremental_fact_stream,
     "listen_definition_sensitivity": _on_star(audience.listen_definition_sensitivity),
     "top_episodes_by_distinct_listeners": _on_star(audience.top_episodes_by_distinct_listeners),
     "podcast_completions_min_episodes": _on_star(
-        lambda s: analyses.podcast_completions(s, min_episodes=80)
+        lambda s: analyses.podcast_completions(s, min_episodes=analyses.mean_catalogue(s))
     ),
     "ltr_weighted": _on_star(audience.ltr_weighted, RATE, "weighted_listen_through_rate"),
     "rejections_by_dimension": _on_star(monitoring.rejections_by_dimension, "rejection_rate"),

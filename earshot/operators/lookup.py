@@ -77,7 +77,8 @@ def hot_keys(profile: DataFrame, key: str, share: float) -> DataFrame:
 
     Counted per map task first, so a hot key costs one row per task in the shuffle.
     """
-    size = max(1, int(profile.count() * share))
+    total = profile.agg(F.count(F.lit(1))).scalar()
+    size = F.greatest(F.lit(1), F.floor(total * share)).cast("long")
     return (
         profile.where(F.col(key).isNotNull())
         .groupBy(key)

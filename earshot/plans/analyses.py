@@ -9,7 +9,7 @@ from earshot.functions import listening as ls
 from earshot.operators.ranking import best_per_group, rank_by, top
 from earshot.operators.rules import flag_columns
 from earshot.plans import staging
-from earshot.plans.star import Star, measure
+from earshot.plans.star import Star
 
 
 def metric_rows(one_row: DataFrame) -> DataFrame:
@@ -20,13 +20,12 @@ def metric_rows(one_row: DataFrame) -> DataFrame:
 
 def data_quality_summary(star: Star) -> DataFrame:
     """Every raw row accounted for, in one pass: duplicates are merged with a count of their copies,
-    so the raw total is a sum over the staged rows and the log is read and shuffled once."""
-    staged = staging.stage_events(star.inputs.event_logs, copies="_copies")
-    events = measure(star.look_up_episodes(staged))
+    so the raw total is a sum over the staged rows and the log is read and shuffled once. A stored
+    star reads its events."""
+    events, raw = star.accounted()
     rejected = F.col("is_rejected")
     counts = {
-        "total_raw_events": F.sum("_copies"),
-        "duplicate_events_removed": F.sum(F.col("_copies") - 1),
+        "total_raw_events": raw,
         "staged_events": F.count(F.lit(1)),
         "valid_events": F.count_if(~rejected),
         "rejected_events": F.count_if(rejected),
@@ -37,7 +36,8 @@ def data_quality_summary(star: Star) -> DataFrame:
         "valid_events_before_episode_release": F.count_if(~rejected & F.col("is_before_episode_release")),
     }
     totals = events.agg(*[F.coalesce(count, F.lit(0)).alias(name) for name, count in counts.items()])
-    return metric_rows(totals)
+    removed = (F.col("total_raw_events") - F.col("staged_events")).alias("duplicate_events_removed")
+    return metric_rows(totals.select("total_raw_events", removed, *totals.columns[1:]))
 
 
 def recent(star: Star, days: int) -> DataFrame:
@@ -59,7 +59,13 @@ def top_completed_episodes(star: Star, days: int | None = None, n: int = 10) ->
     return top(titled, n, "completion_events", "episode_id")
 
 
-def podcast_completions(star: Star, min_episodes: int = 0) -> DataFrame:
+def mean_catalogue(star: Star) -> Column:
+    """Episodes per podcast, on average: one number, known before the scan that uses it."""
+    per_podcast = star.dim_episodes.groupBy("podcast_id").agg(F.count_distinct("episode_id").alias("n"))
+    return per_podcast.agg(F.avg("n")).scalar()
+
+
+def podcast_completions(star: Star, min_episodes: int | Column = 0) -> DataFrame:
     """Completions per podcast and per episode of its catalogue, completed or not, best mean first.
 
     `min_episodes` leaves out catalogues too small to be ranked by their mean.

@@ -26,17 +26,16 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: S
     opened; an unchanged key, or one the snapshot does not have, stays as it is. Applying the same
     snapshot again changes nothing.
 
-    Closed rows pass through. The others are one row per key on both sides, so the join has no hot
-    key, and a key that yields two rows does so from the one join. `history` is read twice, so between
-    snapshots it belongs in a written table.
+    A snapshot older than a key's current row leaves that row alone.
+
+    Everything comes from one join on key and currency: closed rows meet nothing and pass through, the
+    others are one row per key on both sides. `history` is read once, so plans grow by a join a snapshot.
     """
     columns = snapshot.columns
     as_of = as_of.cast("date")
-    current = history.where("is_current").select(
-        F.col(key), F.struct(*columns, "valid_from").alias("old")
-    )
-    latest = snapshot.select(F.col(key), F.struct(*columns).alias("new"))
-    both = current.join(latest, key, "full")
+    known = history.select(F.col(key), "is_current", F.struct(*columns, "valid_from", "valid_to").alias("old"))
+    latest = snapshot.select(F.col(key), F.lit(True).alias("is_current"), F.struct(*columns).alias("new"))
+    both = known.join(latest, [key, "is_current"], "full")
     changed = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked])
 
     def version(row: str, valid_from: Column, valid_to: Column) -> Column:
@@ -48,12 +47,12 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: S
         )
 
     still_open = F.lit(None).cast("date")
-    kept = version("old", F.col("old.valid_from"), still_open)
+    kept = version("old", F.col("old.valid_from"), F.col("old.valid_to"))
     closed = version("old", F.col("old.valid_from"), as_of)
     opened = version("new", as_of, still_open)
     versions = (
         F.when(F.col("old").isNull(), F.array(opened))
-        .when(F.col("new").isNull() | ~changed, F.array(kept))
+        .when(F.col("new").isNull() | ~changed | (as_of < F.col("old.valid_from")), F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    return history.where(~F.col("is_current")).unionByName(both.select(F.inline(versions)))
+    return both.select(F.inline(versions))

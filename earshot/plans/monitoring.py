@@ -83,6 +83,6 @@ def rejection_rate_drift(star: Star, days: int = 7, warn_above: float = 1.5) ->
     return rated.withColumn("severity", severity)
 
 
-def ruleset_version(star: Star, version: str = staging.RULESET_VERSION) -> DataFrame:
+def ruleset_version(star: Star) -> DataFrame:
     """Staged events that say which set of rules they were checked against."""
-    return staging.stage_events(star.inputs.event_logs, version=version)
+    return star.versioned

@@ -23,6 +23,7 @@ QUARANTINE = "rejected_event_logs"
 DAILY = "int_user_daily_activity"
 MART = "mart_user_engagement"
 REFRESHED = "data_refreshed_on"
+RULESET = "rejection_ruleset_version"
 FACT_COLUMNS = [
     "event_id",
     "user_id",
@@ -58,7 +59,9 @@ REJECTED_COLUMNS = [
 EPISODE_COLUMNS = ["podcast_id", "episode_length_bucket", "is_known_episode"]
 # The one written table of events, valid and rejected, holds each of these once.
 DERIVED_COLUMNS = [c for c in FACT_COLUMNS if c not in (*REJECTED_COLUMNS, "duration_raw_seconds")]
-EVENT_COLUMNS = [*REJECTED_COLUMNS, "is_rejected", *DERIVED_COLUMNS, *EPISODE_COLUMNS]
+EVENT_COLUMNS = [*REJECTED_COLUMNS, "is_rejected", RULESET, *DERIVED_COLUMNS, *EPISODE_COLUMNS]
+# What an event says by itself; `measure` works the other columns out with its episode.
+OWN_COLUMNS = [*REJECTED_COLUMNS, "is_rejected", RULESET, "event_datetime"]
 
 
 def dim_users(staged_users: DataFrame) -> DataFrame:
@@ -191,9 +194,24 @@ class Star:
     def stg_episodes(self) -> DataFrame:
         return staging.stage_episodes(self.inputs.episodes)
 
+    @cached_property
+    def cleaned_log(self) -> DataFrame:
+        """The raw log cleaned: one row per distinct event, saying which rules it was checked against."""
+        return staging.stage_events(self.inputs.event_logs, version=staging.RULESET_VERSION)
+
+    @property
+    def versioned(self) -> DataFrame:
+        """The staged events with the version of their rules."""
+        return self.cleaned_log
+
     @cached_property
     def staged(self) -> DataFrame:
-        return staging.stage_events(self.inputs.event_logs)
+        return self.versioned.drop(RULESET)
+
+    def accounted(self) -> tuple[DataFrame, Column]:
+        """All staged events, measured, and an aggregate over them that counts the raw rows."""
+        staged = staging.stage_events(self.inputs.event_logs, copies="_copies")
+        return measure(self.look_up_episodes(staged)), F.sum("_copies")
 
     @cached_property
     def flagged_log(self) -> DataFrame:
@@ -231,13 +249,13 @@ class Star:
     @cached_property
     def classified(self) -> DataFrame:
         """All staged events, valid and rejected, with everything known about them."""
-        return measure(self.look_up_episodes(self.staged)).select(*EVENT_COLUMNS)
+        return measure(self.look_up_episodes(self.versioned)).select(*EVENT_COLUMNS)
 
     @cached_property
     def event_schema(self) -> T.StructType:
         """Schema of `classified`, without planning the lookup."""
         attributes = episode_attributes(dim_episodes(self.stg_episodes))
-        joined = self.staged.join(attributes, "episode_id", "left")
+        joined = self.cleaned_log.join(attributes, "episode_id", "left")
         return measure(joined).select(*EVENT_COLUMNS).schema
 
     @cached_property
@@ -268,14 +286,15 @@ class Star:
         """One row: the day of the last valid event."""
         return self.valid_copies.agg(F.max("event_date").alias("event_date"))
 
-    def look_up_episodes(self, events: DataFrame) -> DataFrame:
-        """Hot episodes are told from the raw log: one column of it, counted without cleaning."""
+    def look_up_episodes(self, events: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+        """Hot episodes are told from `profile`, by default the raw log: one column of it, counted
+        without cleaning."""
         return lookup_join(
             events,
             episode_attributes(self.dim_episodes),
             "episode_id",
             spread_on=["user_id", "event_timestamp_raw"],
-            profile=self.inputs.event_logs,
+            profile=self.inputs.event_logs if profile is None else profile,
             limit=self.broadcast_limit,
         )
 
@@ -302,12 +321,15 @@ class Star:
         """Write the tables once, into a new folder, and return the star that reads them. The log is
         read and cleaned once for the fact and the quarantine together, then dealt out by day."""
         write_events(self.classified, folder)
+        self.write_dimensions(folder)
         return self.write_derived(folder)
 
-    def write_derived(self, folder: str, mode: str = "errorifexists") -> "StoredStar":
-        """Write the dimensions, and what follows from the events that `folder` holds."""
+    def write_dimensions(self, folder: str, mode: str = "errorifexists") -> None:
         self.dim_users.write.mode(mode).parquet(os.path.join(folder, "dim_users"))
         self.dim_episodes.write.mode(mode).parquet(os.path.join(folder, "dim_episodes"))
+
+    def write_derived(self, folder: str, mode: str = "errorifexists") -> "StoredStar":
+        """Write what follows from the events and dimensions that `folder` holds."""
         stored = StoredStar(folder, self.inputs, self.broadcast_limit)
         user_daily_activity(stored.events).write.mode(mode).parquet(os.path.join(folder, DAILY))
         user_engagement(stored.events, stored.dim_users).write.mode(mode).parquet(os.path.join(folder, MART))
@@ -320,11 +342,13 @@ def write_events(events: DataFrame, folder: str, mode: str = "errorifexists") ->
     large share of the rows and merge small ones, so no task writes a whole hot day."""
     partitions = ["is_rejected", "event_date"]
     writer = events.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    writer.mode(mode).parquet(os.path.join(folder, EVENTS))
+    # An overwrite replaces the days that `events` has; with appends this changes nothing.
+    writer.option("partitionOverwriteMode", "dynamic").mode(mode).parquet(os.path.join(folder, EVENTS))
 
 
 class StoredStar(Star):
-    """The same tables read from a folder written by `Star.write`; nothing is cleaned again."""
+    """The same tables read from a folder written by `Star.write`; nothing is cleaned again, unless
+    `cleaned_log` is asked for. The folder may hold more events than `inputs`, which then are the last batch."""
 
     def __init__(self, folder: str, inputs: Inputs, broadcast_limit: int = BROADCAST_LIMIT):
         super().__init__(inputs, broadcast_limit)
@@ -347,6 +371,34 @@ class StoredStar(Star):
         reader = self.inputs.users.sparkSession.read.schema(self.event_schema)
         return reader.parquet(os.path.join(self.folder, EVENTS)).select(*EVENT_COLUMNS)
 
+    @property
+    def versioned(self) -> DataFrame:
+        return self.classified.select(*self.cleaned_log.columns)
+
+    def accounted(self) -> tuple[DataFrame, Column]:
+        """The raw rows are counted in `inputs`, without looking at them; for this the log has to be whole."""
+        return self.classified, F.max(self.inputs.event_logs.agg(F.count(F.lit(1))).scalar())
+
+    def stale_days(self) -> DataFrame:
+        """Days (`_day`) with events that carry something of their episode which the dimension does
+        not say: it arrived, changed or went after they were measured.
+
+        Compared once per episode, day and value, so a hot episode meets the join as a few rows.
+        """
+        carried = ["podcast_id", "episode_duration_seconds", "is_known_episode"]
+        groups = self.classified.where(F.col("episode_id").isNotNull())
+        groups = groups.select("episode_id", "event_date", *carried, "is_before_episode_release").distinct()
+        now = F.struct(*carried, "episode_release_date").alias("now")
+        joined = groups.join(episode_attributes(self.dim_episodes).select("episode_id", now), "episode_id", "left")
+        before = F.coalesce(F.col("event_date") < F.col("now.episode_release_date"), F.lit(False))
+        differs = ~before.eqNullSafe(F.col("is_before_episode_release"))
+        for column in carried:
+            value = F.col(f"now.{column}")
+            if column == "is_known_episode":
+                value = F.coalesce(value, F.lit(False))
+            differs |= ~value.eqNullSafe(F.col(column))
+        return joined.where(differs).select(F.col("event_date").alias("_day")).distinct()
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return split_quarantine(self.classified)[1]

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from earshot.plans.star import EVENTS, Star, write_events
+from earshot.plans.star import EVENT_COLUMNS, EVENTS, OWN_COLUMNS, Star, StoredStar, measure, write_events
+from earshot.session import shared_folder
 from earshot.sources.inputs import Inputs
 
 
@@ -22,9 +23,10 @@ def load_increment(batch: Inputs, folder: str, refresh: bool = True) -> None:
     joined with the days. Valid and rejected events, however
     late, are added in one write; one that died is repaired by running it again.
 
-    With `refresh` the dimensions of the batch, the daily activity and the user mart are written anew
-    from the events, so that all tables of the folder agree; without it, `refresh_tables` has to be called
-    after the last of several loads.
+    With `refresh` the dimensions of the batch are written anew, events whose episode arrived or changed
+    since are measured again, and daily activity and user mart follow from the events, so that all tables
+    of the folder are what one load of everything would have given; without it, `refresh_tables` has to
+    be called after the last of several loads.
     """
     star = Star(batch)
     new = star.classified
@@ -39,9 +41,31 @@ def load_increment(batch: Inputs, folder: str, refresh: bool = True) -> None:
 
 
 def refresh_tables(inputs: Inputs, folder: str) -> None:
-    """Write the dimensions of `inputs` and, from the stored events, the daily activity and the user
-    mart: each is one grouping of the fact, as in a first write."""
-    Star(inputs).write_derived(folder, "overwrite")
+    """Write the dimensions of `inputs`, bring the stored events up to them, and write the daily activity
+    and the user mart: each is one grouping of the fact, as in a first write."""
+    star = Star(inputs)
+    star.write_dimensions(folder, "overwrite")
+    remeasure(StoredStar(folder, inputs))
+    star.write_derived(folder, "overwrite")
+
+
+def remeasure(stored: StoredStar) -> None:
+    """Measure stored events again whose episode arrived, changed or went since; usually there are none.
+
+    The days with such events are written anew as a whole and take the place of the old ones when the
+    job commits. What differs is found by comparing events and dimension, not by remembering what
+    changed: it does not matter which load wrote an event, and a run that died is made good by the next.
+    """
+    spark = stored.dim_episodes.sparkSession
+    found, path = stored.stale_days(), shared_folder(spark, "stale-days")
+    found.write.parquet(path)
+    days = spark.read.schema(found.schema).parquet(path)
+    if days.isEmpty():
+        return
+    events = stored.classified.where(_within(days))
+    events = events.join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi").select(*OWN_COLUMNS)
+    again = measure(stored.look_up_episodes(events, profile=events)).select(*EVENT_COLUMNS)
+    write_events(again, stored.folder, mode="overwrite")
 
 
 def stream_increments(

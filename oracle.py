@@ -445,6 +445,25 @@ _STATEMENTS = {
         FROM (SELECT {_STAGED_COLUMNS} FROM staged)""",
     "incremental_fact": _FACT,
     "incremental_fact_stream": _FACT,
+    "incremental_daily_activity": "SELECT * FROM daily",
+    "incremental_mart": "SELECT * REPLACE (round(avg_listen_through_rate, 6) AS avg_listen_through_rate) FROM engagement",
+    "check_derived_tables": _union(
+        [
+            _one_check(
+                "derived_table",
+                "int_user_daily_activity",
+                "SELECT count(*) FROM (SELECT event_date, count(*) AS a FROM listens GROUP BY event_date)"
+                " FULL JOIN (SELECT event_date, sum(total_listen_events) AS b FROM daily GROUP BY event_date)"
+                " USING (event_date) WHERE a IS DISTINCT FROM b",
+            ),
+            _one_check(
+                "derived_table",
+                "mart_user_engagement",
+                "SELECT count(*) FROM engagement LEFT JOIN (SELECT user_id, count(*) AS a FROM fact GROUP BY user_id)"
+                " USING (user_id) WHERE a IS DISTINCT FROM total_valid_events",
+            ),
+        ]
+    ),
     "listen_definition_sensitivity": _union(
         [
             _busy("any_event", "TRUE"),
@@ -456,7 +475,7 @@ _STATEMENTS = {
         SELECT episode_id, title, count(DISTINCT user_id) AS distinct_listeners
         FROM fact WHERE event_type = 'complete' AND title IS NOT NULL
         GROUP BY episode_id, title ORDER BY distinct_listeners DESC, episode_id LIMIT 10""",
-    "podcast_completions_min_episodes": f"SELECT * FROM ({_PODCASTS}) WHERE episode_count >= 80",
+    "podcast_completions_min_episodes": f"SELECT * FROM ({_PODCASTS}) WHERE episode_count >= (SELECT avg(episode_count) FROM ({_PODCASTS}))",
     "ltr_weighted": """
         SELECT podcast_id, round(avg(listen_through_rate), 6) AS avg_listen_through_rate,
                round(CAST(sum(duration_capped_seconds) AS DOUBLE)

@@ -11,7 +11,8 @@ from earshot.sources.inputs import EPISODES, EVENT_LOG, USERS
 from oracle import _STATEMENTS, MODELS
 from tests.compare import spark_rows, sql_rows
 
-OTHER_INPUTS = ("csv_round_trip", "dim_users_history", "feature_impact", "incremental_fact", "incremental_fact_stream", "ltr_by_region")
+INCREMENTAL = ("incremental_fact", "incremental_daily_activity", "incremental_mart", "check_derived_tables", "incremental_fact_stream")
+OTHER_INPUTS = ("csv_round_trip", "dim_users_history", "feature_impact", *INCREMENTAL, "ltr_by_region")
 STAMPS = [None, "", "malformed-date", "2024-02-30", "2024-01", "2024/01/05 10:00:00", "2024-01-06T10:00Z", "2024-01-07"]
 
 

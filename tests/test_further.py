@@ -36,6 +36,8 @@ def test_history(spark):
         [("DE", D1, D2), ("FR", D2, D3), ("DE", D3, None)], key=repr
     )
     assert back.where("is_current").count() == 4
+    older = apply(back, snapshot(("a", "US", "o"), ("b", None, "o")), "2024-01-15")
+    assert rows(older, "*") == rows(back, "*")
 
 
 def test_listen_definitions(spark):

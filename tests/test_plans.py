@@ -10,7 +10,8 @@ from earshot.sources.retail import from_retail
 from tests.frames import event, inputs, plan_of, star
 
 FOLDER = "/root/testdata/sf0.001"
-WRITING = ("check_report", "csv_round_trip", "incremental_fact", "incremental_fact_stream")
+INCREMENTAL = ("incremental_fact", "incremental_daily_activity", "incremental_mart", "check_derived_tables", "incremental_fact_stream")
+WRITING = ("check_report", "csv_round_trip", *INCREMENTAL)
 LAZY = [n for n in entry.ORACLE if n not in WRITING]
 
 
