@@ -51,10 +51,58 @@ def learn(sample: np.ndarray, bits: int, rounds: int = 50, seed: int = 0) -> tup
     return projection, thresholds
 
 
-def windows(bits: int, tables: int, size: int) -> np.ndarray:
-    """Which bits each table looks at: `size` bits in a row around the code, evenly spaced starts."""
-    starts = [t * bits // tables for t in range(tables)]
-    return np.array([[(s + i) % bits for i in range(size)] for s in starts])
+def simulated_pairs(
+    sample: np.ndarray, least: float, most: int = 4000, seed: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors of the sample, and for each one another at a cosine of exactly `least`: half of them away
+    in any direction, half (flagged) in the direction in which two vectors of the sample differ."""
+    random = np.random.default_rng(seed)
+    one = sample[random.integers(0, len(sample), most)]
+    away = random.standard_normal(one.shape)
+    differ = sample[random.integers(0, len(sample), most)] - sample[random.integers(0, len(sample), most)]
+    like_data = (np.arange(most) % 2 == 1) & (np.abs(differ).max(axis=1) > 0)
+    away[like_data] = differ[like_data]
+    away -= (away * one).sum(axis=1, keepdims=True) * one
+    length = np.sqrt((away**2).sum(axis=1, keepdims=True))
+    good = length[:, 0] > 1e-9
+    one, away = one[good], away[good] / length[good]
+    return one, least * one + math.sqrt(max(0.0, 1 - least**2)) * away, like_data[good]
+
+
+def layout(
+    sample: np.ndarray, n: int, least: float, recall: float, bits: int, tables: int, bucket_rows: int,
+    size: int | None = None, seed: int = 0,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(projection, thresholds, which bits each table looks at) for `n` vectors.
+
+    Every table has `size` bits of its own, no bit serves two. Tables are added, and codes of `bits` bits
+    learnt for them, until they meet `recall` of either kind of simulated pairs at a cosine of `least`,
+    `tables` at least. Those pairs start from a fifth of the sample that codes are not learnt from. `size` is the one with the least work, where none is given: more bits need more tables, as more
+    of them differ in a pair, and fewer bits fill the buckets.
+    """
+    apart = np.arange(len(sample)) % 5 == 4
+    one, other, kind = simulated_pairs(sample[apart], least) if apart.any() else (sample[:0], sample[:0], apart[:0])
+    sample = sample[~apart]
+    projection, thresholds = learn(sample, bits, seed=seed)
+    if size is None:
+        differ = (encode(one, projection, thresholds) != encode(other, projection, thresholds)).mean() if len(one) else 0.0
+
+        def work(s: int) -> float:
+            whole = min((1 - differ) ** s, recall)
+            return math.log(1 - recall) / math.log1p(-whole) * (1 + n / 2.0**s / bucket_rows)
+
+        size = min(range(1, 31), key=work)
+    blocks, met, used = [(projection, thresholds)], np.zeros(len(one), bool), 0
+    agree = encode(one, projection, thresholds) == encode(other, projection, thresholds)
+    while used < tables or any(met[k].mean() < recall for k in (kind, ~kind) if k.any()):
+        while agree.shape[1] < (used + 1) * size:
+            blocks.append(learn(sample, bits, seed=seed + len(blocks)))
+            agree = np.concatenate([agree, encode(one, *blocks[-1]) == encode(other, *blocks[-1])], axis=1)
+        met |= agree[:, used * size : (used + 1) * size].all(axis=1)
+        used += 1
+    projection = np.concatenate([b[0] for b in blocks], axis=1)[:, : used * size]
+    thresholds = np.concatenate([b[1] for b in blocks])[: used * size]
+    return projection, thresholds, np.arange(used * size).reshape(used, size)
 
 
 def encode(rows: np.ndarray, projection: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
@@ -63,8 +111,10 @@ def encode(rows: np.ndarray, projection: np.ndarray, thresholds: np.ndarray) ->
 
 def table_keys(code: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The key of every row (axis 0) in every table (axis 1)."""
-    weights = 1 << np.arange(chosen.shape[1], dtype=np.int64)
-    return (code[:, chosen] * weights).sum(axis=2)
+    keys = np.zeros((len(code), len(chosen)), np.int64)
+    for i in range(chosen.shape[1]):
+        keys |= code[:, chosen[:, i]].astype(np.int64) << i
+    return keys
 
 
 def near_vectors(
@@ -76,17 +126,19 @@ def near_vectors(
     sample_rows: int = 20_000,
     block: int = 1024,
     seed: int = 0,
+    recall: float = 0.99,
+    size: int | None = None,
 ) -> DataFrame:
     """A row per row of `vectors` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Vectors are linked if their cosine in double precision is at least `least`. Codes of `bits` bits are
     learnt by iterative quantisation on about `sample_rows` vectors, those whose hash is small (a bounded
-    sample that depends on the rows only); every row is indexed. `tables` tables, or two for each bit
-    where those are more, take overlapping substrings of about log2(rows / `bucket_rows`) bits, 8 at least
-    and 20 at most, so buckets stay small where there are more rows: pairs that agree in any substring are reranked with the original
-    vectors, each in the first table it agrees in. By the pigeonhole principle a pair is met for certain if
-    no more bits differ than leave a substring whole; others with a probability that grows with their
-    similarity (recall is measured in tests/llm).
+    sample that depends on the rows only); every row is indexed. Tables look at substrings of `size` bits,
+    or as many as make the least work for the number of rows, about `bucket_rows` to a bucket. Each table has
+    bits of its own, and there are as many tables, `tables` at least, as meet the share `recall` of simulated
+    pairs at a cosine of exactly `least`, whatever the number of rows. Pairs that agree in any substring are
+    reranked with the original vectors, each in the first table it agrees in. Pairs of a higher cosine are
+    met with a higher probability (recall is measured in tests/llm).
 
     A bucket is cut into blocks of at most `block` rows that meet two by two, and only counts and
     the edges of a spanning forest leave a task, never all pairs.
@@ -113,9 +165,7 @@ def near_vectors(
     share = min(1.0, sample_rows / n)
     drawn = distinct.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 32)) < int(share * (1 << 32)))
     sample, good = unit_rows(drawn.select("embedding").toArrow().column("embedding").to_pylist(), width)
-    projection, thresholds = learn(sample[good], bits, seed=seed)
-    size = min(20, bits, max(8, round(math.log2(max(n / bucket_rows, 1)))))
-    chosen = windows(bits, max(tables, 2 * size), size)
+    projection, thresholds, chosen = layout(sample[good], n, least, recall, bits, tables, bucket_rows, size, seed)
 
     def index(batches):
         for batch in batches:

@@ -145,6 +145,26 @@ def test_codes_are_balanced():
     assert abs(share - 0.5).max() < 0.01
 
 
+@pytest.mark.parametrize("size", [8, 14, 16, 20])
+@pytest.mark.parametrize("data", ["even", "clustered", "off centre"])
+def test_tables_meet_pairs_whatever_the_size(size, data):
+    random = np.random.default_rng(7)
+    flat = random.standard_normal((8000, 64))
+    if data == "clustered":
+        flat = random.standard_normal((50, 64))[random.integers(0, 50, 8000)] + 0.5 * flat
+    flat += 0.5 * (data == "off centre")
+    rows, _ = itq.unit_rows(list(flat), 64)
+    away = random.standard_normal((4000, 64))
+    away -= (away * rows[4000:]).sum(axis=1, keepdims=True) * rows[4000:]
+    away /= np.sqrt((away**2).sum(axis=1, keepdims=True))
+    cosine = random.uniform(0.95, 0.96, (4000, 1))
+    near = cosine * rows[4000:] + np.sqrt(1 - cosine**2) * away
+    projection, thresholds, chosen = itq.layout(rows[:4000], 1 << (size + 6), 0.95, 0.99, 64, 16, 64, size)
+    assert chosen.shape[1] == size
+    one, other = (itq.table_keys(itq.encode(x, projection, thresholds), chosen) for x in (rows[4000:], near))
+    assert (one == other).any(axis=1).mean() >= 0.98
+
+
 def test_useless_vectors():
     rows, good = itq.unit_rows([[3e200, 4e200], None, [0, 0], [float("nan"), 1], [1, None], [1], [1e-200, 0]], 2)
     assert good.tolist() == [True, False, False, False, False, False, True]
