@@ -114,7 +114,7 @@ def measure(docs: DataFrame, model: str) -> DataFrame:
     def run(batches):
         lexicon = Lexicon(model)
         for batch in slices(batches, "text", 2 << 20):
-            out: list[list] = [[] for _ in range(10)]
+            out: list[list] = [[] for _ in range(11)]
             raws = [t.encode() for t in batch.column("text").to_pylist() for t in [t or ""]]
             split = [raw.split() for raw in raws]
             if len(lexicon.number) > CACHED_WORDS:
@@ -123,6 +123,7 @@ def measure(docs: DataFrame, model: str) -> DataFrame:
             ends = np.cumsum([len(words) for words in split])
             langs = batch.column("lang").to_pylist()
             for raw, lang, end, words in zip(raws, langs, ends, split):
+                written = script(raw.decode())
                 own = numbers[end - len(words) : end]
                 sizes = lexicon.start[own + 1] - lexicon.start[own]
                 tokens = int(sizes.sum())
@@ -138,7 +139,8 @@ def measure(docs: DataFrame, model: str) -> DataFrame:
                     chars / tokens if tokens else None,
                     int(lexicon.bytes[own].sum()) / tokens if tokens else None,
                     entropy(lexicon.ids[at]) if tokens else None,
-                    lang if lang is not None else "script:" + script(raw.decode()),
+                    lang if lang is not None else "script:" + written,
+                    written,
                 )
                 for column, value in zip(out, row):
                     column.append(value)
@@ -148,7 +150,7 @@ def measure(docs: DataFrame, model: str) -> DataFrame:
         docs.select("doc_id", "text", "lang"),
         run,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "n_tokens long, chars_per_token double, byte_share double, token_entropy double, band string",
+        "n_tokens long, chars_per_token double, byte_share double, token_entropy double, band string, script string",
     )
 
 
@@ -161,20 +163,61 @@ def _length_class() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) * 2)
 
 
+def _quartiles(known: DataFrame, *keys: str) -> DataFrame:
+    """Per group the number of texts, their median length class, and of each measure the median and the
+    spread between quartiles as it is for a normal distribution."""
+    quarters = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(c) for c in MEASURES]
+    middle_class = F.percentile_approx("length_class", 0.5, 10_000).alias("of_class")
+    found = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), middle_class, *quarters)
+    bounds = []
+    for name in MEASURES:
+        low, middle, high = (F.get(F.col(name), F.lit(i)) for i in range(3))
+        bounds += [middle.alias(f"{name}_middle"), ((high - low) / 1.349).alias(f"{name}_spread")]
+    return found.select(*keys, "n", "of_class", *bounds)
+
+
 def bands(measured: DataFrame, least_words: int, least_docs: int) -> DataFrame:
-    """Per language (or script) and length class the median of each measure, and its deviation: the
-    spread between quartiles as it is for a normal distribution. Read from all documents of
-    `least_words`; classes of fewer than `least_docs` documents have none."""
+    """Per language (or script) and length class of `measured` the middle of each measure, and its
+    deviation: `_band`, `_script`, `_class`, {measure}_middle, {measure}_off.
+
+    Read from all texts of `least_words`. A class of fewer than
+    `least_docs` texts takes the band of the nearest class of its language that has them, a language without such a class
+    the band of all its texts, and one that is small as a whole that of its script, however small. Entropy alone
+    depends on length, and grows by half a bit a class at most: the middle falls by that where the band
+    comes from longer texts.
+
+    A deviation is the group's own spread, but not less than the least of `MEASURES`.
+    """
     known = measured.where(F.col("n_words") >= least_words)
-    quarters = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(c) for c in MEASURES]
-    found = known.groupBy("band", "length_class").agg(F.count(F.lit(1)).alias("n"), *quarters)
+    known = stored(known.select("band", "script", "length_class", *MEASURES), "fertility-texts")
+    names = [f"{c}_{x}" for c in MEASURES for x in ("middle", "spread")]
+    packed = F.struct("of_class", *names)
+    classes = _quartiles(known, "band", "length_class").where(F.col("n") >= least_docs)
+    classes = stored(classes.withColumn("of_class", F.col("length_class")), "fertility-classes")
+    languages = _quartiles(known, "band").where(F.col("n") >= least_docs).select("band", packed.alias("_language"))
+    scripts = _quartiles(known, "script").select("script", packed.alias("_script_wide"))
+
+    cells = stored(measured.select("band", "script", "length_class").distinct(), "fertility-cells")
+    offered = classes.select(F.col("band").alias("_b"), packed.alias("_near"))
+    distance = F.abs(F.col("length_class") - F.col("_near.of_class"))
+    nearest = (
+        cells.join(offered, F.col("band") == F.col("_b"), "left")
+        .groupBy("band", "script", "length_class")
+        .agg(F.min_by("_near", F.struct(distance, F.col("_near.of_class"))).alias("_near"))
+    )
+    chosen = (
+        nearest.join(languages, "band", "left")
+        .join(scripts, "script", "left")
+        .withColumn("_from", F.coalesce("_near", "_language", "_script_wide"))
+    )
+    shorter = F.greatest(F.col("_from.of_class") - F.col("length_class"), F.lit(0))
     bounds = []
     for name, least in MEASURES.items():
-        low, middle, high = (F.get(F.col(name), F.lit(i)) for i in range(3))
-        off = F.greatest((high - low) / 1.349, F.lit(least))
-        bounds += [middle.alias(f"{name}_middle"), off.alias(f"{name}_off")]
-    return found.where(F.col("n") >= least_docs).select(
-        F.col("band").alias("_band"), F.col("length_class").alias("_class"), *bounds
+        middle = F.col(f"_from.{name}_middle")
+        bounds.append((middle - shorter * 0.5 if name == "token_entropy" else middle).alias(f"{name}_middle"))
+        bounds.append(F.greatest(F.col(f"_from.{name}_spread"), F.lit(least)).alias(f"{name}_off"))
+    return chosen.where("_from is not null").select(
+        F.col("band").alias("_band"), F.col("script").alias("_script"), F.col("length_class").alias("_class"), *bounds
     )
 
 
@@ -197,17 +240,15 @@ def quality(
     `joint_width` deviations together. Base rules: fewer than `least_words` words, or more than half of
     them in repeated windows of three.
 
-    Null or empty text: no words, failed by the base rules. A band of fewer than `least_docs` documents
-    rejects nothing. Null doc_id and repeated rows: documents of their own. Empty table: no rows.
+    A class of fewer than `least_docs` texts borrows a band, see `bands`. Null or empty text: no words, failed by the base rules. Null doc_id and repeated rows: documents of their own. Empty table: no rows.
     Other columns are ignored.
     """
     measured = stored(measure(docs, model or public_tokenizers.path("piece_bpe_32k.model")), "fertility")
     measured = measured.withColumn("tokens_per_word", F.try_divide("n_tokens", "n_words"))
     measured = measured.withColumn("length_class", _length_class())
     limits = stored(bands(measured, least_words, least_docs), "bands")
-    joined = measured.join(
-        limits, (F.col("band") == F.col("_band")) & (F.col("length_class") == F.col("_class")), "left"
-    )
+    same = [F.col(c) == F.col(d) for c, d in (("band", "_band"), ("script", "_script"), ("length_class", "_class"))]
+    joined = measured.join(limits, same, "left")
     base_failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     off = {c: (F.col(c) - F.col(f"{c}_middle")) / F.col(f"{c}_off") for c in MEASURES}
     both = F.hypot(F.least(off["chars_per_token"], F.lit(0.0)), F.least(off["token_entropy"], F.lit(0.0)))

@@ -178,6 +178,32 @@ def test_mixture_reads_all_and_repeats_within_limits(spark, odd):
     assert 20_000 <= sum(total.values()) < 20_000 + 20 * 10_000
 
 
+def plain_texts(n, size, seed=0):
+    """Texts of common words, each with a share of long words of its own."""
+    random = np.random.default_rng(seed)
+    short = "the of and to in is it for on was as at by he be we or an are this but not you all had".split()
+    long = "people children government development information different important university experience community".split()
+    share = np.linspace(0.15, 0.45, n)
+    return [" ".join(str(random.choice(long if random.random() < p else short)) for _ in range(size)) for p in share]
+
+
+def garbled(size, seed=1):
+    random = np.random.default_rng(seed)
+    return " ".join("".join(random.choice(list("qxzjkvwy0987"), 8)) for _ in range(size))
+
+
+def verdicts(spark, rows):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    return [r.kept for r in fertility.quality(docs).orderBy("doc_id").select("kept").collect()]
+
+
+def test_texts_of_rare_lengths_and_languages_are_judged(spark):
+    rows = [(t, "en") for t in plain_texts(40, 200)]
+    rows += [(plain_texts(3, 4000)[1], "en"), (plain_texts(3, 70)[1], "en"), (plain_texts(3, 200)[1], "xx"), (plain_texts(3, 200)[1], None)]
+    rows += [(garbled(4000), "en"), (garbled(70), "en"), (garbled(200), "xx"), (garbled(200), None)]
+    assert verdicts(spark, rows) == [True] * 44 + [False] * 4
+
+
 def test_license_scan_on_planted_notices(spark):
     apache = " ".join(licenses.TEMPLATES[3][1].split())
     wrapped = "\n".join(apache[i : i + 60] for i in range(0, len(apache), 60))
