@@ -144,12 +144,12 @@ def measure(docs: DataFrame, model: str) -> DataFrame:
                 )
                 for column, value in zip(out, row):
                     column.append(value)
-            yield batch.column("doc_id"), *out
+            yield batch.column("doc_id"), batch.column("digest"), *out
 
     return map_arrow(
-        docs.select("doc_id", "text", "lang"),
+        docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("digest")),
         run,
-        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+        "doc_id long, digest long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "n_tokens long, chars_per_token double, byte_share double, token_entropy double, band string, script string",
     )
 
@@ -180,16 +180,17 @@ def bands(measured: DataFrame, least_words: int, least_docs: int) -> DataFrame:
     """Per language (or script) and length class of `measured` the middle of each measure, and its
     deviation: `_band`, `_script`, `_class`, {measure}_middle, {measure}_off.
 
-    Read from all texts of `least_words`. A class of fewer than
+    Read from the distinct texts of `least_words`, so that copies count once. A class of fewer than
     `least_docs` texts takes the band of the nearest class of its language that has them, a language without such a class
     the band of all its texts, and one that is small as a whole that of its script, however small. Entropy alone
     depends on length, and grows by half a bit a class at most: the middle falls by that where the band
     comes from longer texts.
 
-    A deviation is the group's own spread, but not less than the least of `MEASURES`.
+    A deviation is the group's own spread, but not less than the median spread of the language's other
+    classes (of all classes, where it has no other) nor than the least of `MEASURES`.
     """
     known = measured.where(F.col("n_words") >= least_words)
-    known = stored(known.select("band", "script", "length_class", *MEASURES), "fertility-texts")
+    known = stored(known.select("band", "script", "length_class", "digest", *MEASURES).distinct(), "fertility-texts")
     names = [f"{c}_{x}" for c in MEASURES for x in ("middle", "spread")]
     packed = F.struct("of_class", *names)
     classes = _quartiles(known, "band", "length_class").where(F.col("n") >= least_docs)
@@ -200,14 +201,17 @@ def bands(measured: DataFrame, least_words: int, least_docs: int) -> DataFrame:
     cells = stored(measured.select("band", "script", "length_class").distinct(), "fertility-cells")
     offered = classes.select(F.col("band").alias("_b"), packed.alias("_near"))
     distance = F.abs(F.col("length_class") - F.col("_near.of_class"))
+    spreads = [F.percentile(F.when(distance > 0, F.col(f"_near.{c}_spread")), 0.5).alias(f"{c}_others") for c in MEASURES]
     nearest = (
         cells.join(offered, F.col("band") == F.col("_b"), "left")
         .groupBy("band", "script", "length_class")
-        .agg(F.min_by("_near", F.struct(distance, F.col("_near.of_class"))).alias("_near"))
+        .agg(F.min_by("_near", F.struct(distance, F.col("_near.of_class"))).alias("_near"), *spreads)
     )
+    every = classes.agg(*[F.percentile(f"{c}_spread", 0.5).alias(f"{c}_every") for c in MEASURES])
     chosen = (
         nearest.join(languages, "band", "left")
         .join(scripts, "script", "left")
+        .crossJoin(F.broadcast(every))
         .withColumn("_from", F.coalesce("_near", "_language", "_script_wide"))
     )
     shorter = F.greatest(F.col("_from.of_class") - F.col("length_class"), F.lit(0))
@@ -215,7 +219,8 @@ def bands(measured: DataFrame, least_words: int, least_docs: int) -> DataFrame:
     for name, least in MEASURES.items():
         middle = F.col(f"_from.{name}_middle")
         bounds.append((middle - shorter * 0.5 if name == "token_entropy" else middle).alias(f"{name}_middle"))
-        bounds.append(F.greatest(F.col(f"_from.{name}_spread"), F.lit(least)).alias(f"{name}_off"))
+        others = F.coalesce(f"{name}_others", f"{name}_every")
+        bounds.append(F.greatest(F.col(f"_from.{name}_spread"), others, F.lit(least)).alias(f"{name}_off"))
     return chosen.where("_from is not null").select(
         F.col("band").alias("_band"), F.col("script").alias("_script"), F.col("length_class").alias("_class"), *bounds
     )
@@ -240,7 +245,8 @@ def quality(
     `joint_width` deviations together. Base rules: fewer than `least_words` words, or more than half of
     them in repeated windows of three.
 
-    A class of fewer than `least_docs` texts borrows a band, see `bands`. Null or empty text: no words, failed by the base rules. Null doc_id and repeated rows: documents of their own. Empty table: no rows.
+    Copies of a text count once in the bands, and a class of fewer than `least_docs` texts borrows one, see
+    `bands`. Null or empty text: no words, failed by the base rules. Null doc_id and repeated rows: documents of their own. Empty table: no rows.
     Other columns are ignored.
     """
     measured = stored(measure(docs, model or public_tokenizers.path("piece_bpe_32k.model")), "fertility")

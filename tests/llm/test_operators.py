@@ -204,6 +204,12 @@ def test_texts_of_rare_lengths_and_languages_are_judged(spark):
     assert verdicts(spark, rows) == [True] * 44 + [False] * 4
 
 
+def test_copies_count_once_in_the_bands(spark):
+    plain = [(t, "en") for t in plain_texts(40, 200)]
+    assert verdicts(spark, plain + [plain[-1]] * 200) == [True] * 240
+    assert verdicts(spark, plain + [(garbled(90), "en")] * 200) == [True] * 40 + [False] * 200
+
+
 def test_license_scan_on_planted_notices(spark):
     apache = " ".join(licenses.TEMPLATES[3][1].split())
     wrapped = "\n".join(apache[i : i + 60] for i in range(0, len(apache), 60))
