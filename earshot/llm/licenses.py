@@ -56,6 +56,22 @@ TEMPLATES = [
     ),
 ]
 
+#: What names the license in a template, by its text; of every line one phrase has to stand there.
+NAMES = {
+    TEMPLATES[0][1]: [["mit"]],
+    TEMPLATES[2][1]: [["apache license"], ["version 2", "license 2", "v2", "v 2"]],
+    TEMPLATES[3][1]: [["apache license"], ["version 2", "license 2", "v2", "v 2"]],
+    TEMPLATES[4][1]: [["cc by nc"]],
+    TEMPLATES[5][1]: [["noncommercial", "non commercial"]],
+    TEMPLATES[6][1]: [["sharealike", "share alike"]],
+    TEMPLATES[7][1]: [["gnu general public license"], ["version 3", "license 3", "v3", "v 3"]],
+    TEMPLATES[8][1]: [["gnu general public license"], ["version 3", "license 3", "v3", "v 3"]],
+    TEMPLATES[9][1]: [["mozilla public license"], ["version 2", "license 2", "v2", "v 2"]],
+}
+
+#: Consecutive words of a text in which a notice has to stand, for every word of its template.
+ROOM = 2
+
 
 #: Bytes that no word holds become blanks, A-Z lower case; digits, a-z and all beyond ASCII stay.
 _TABLE = bytes(
@@ -142,6 +158,33 @@ class Index:
         return found
 
 
+def named_share(all_words: list[bytes], template: str, threshold: float) -> float:
+    """The largest share of the template's words among consecutive words of a text, `ROOM` times as many
+    as the template has, that also name the license as `NAMES` demands; 0 if below the threshold.
+
+    The words of a long line may stand far apart, and the words that two licenses differ in are few.
+    """
+    wanted = words(template)
+    room, wanted = ROOM * len(wanted), frozenset(wanted)
+    needed = max(1, math.ceil(threshold * len(wanted) - 1e-9))
+    names = [[b" " + n.encode() + b" " for n in one] for one in NAMES.get(template, [])]
+    places = [i for i, w in enumerate(all_words) if w in wanted]
+    held: Counter = Counter()
+    stop = most = 0
+    for start in places:
+        while stop < len(places) and places[stop] < start + room:
+            held[all_words[places[stop]]] += 1
+            stop += 1
+        if len(held) >= max(needed, most + 1):
+            joined = b" " + b" ".join(all_words[start : start + room]) + b" "
+            if all(any(n in joined for n in one) for one in names):
+                most = len(held)
+        held[all_words[start]] -= 1
+        if not held[all_words[start]]:
+            del held[all_words[start]]
+    return most / len(wanted) if most else 0.0
+
+
 def phrase_places(all_words: list[bytes], phrases: dict[str, str] = PHRASES) -> list[tuple[int, str]]:
     """(index of the first word, label) of every place where a phrase's words stand consecutively."""
     joined = b" " + b" ".join(all_words) + b" "
@@ -164,7 +207,8 @@ def scan(
     Base: places where the words of a phrase stand consecutively. Method: an exact containment join of
     the text's blocks (lines and paragraphs) with `templates`: the words' document counts over the
     whole table put them in a global order, and prefix, length and position filters leave few pairs to
-    count. The index holds the templates only, a fixed list, so it goes along with the tasks.
+    count. What is found counts if the license is named (`NAMES`) and the words stand together, see
+    `named_share`. The index holds the templates only, a fixed list, so it goes along with the tasks.
 
     Labels are distinct, sorted and comma-joined; score is 1 where a phrase stands, else the largest
     containment found, else 0. Null or empty text: no words, empty labels, null first and last word.
@@ -184,6 +228,8 @@ def scan(
                     for block in blocks(text):
                         for number, share in index.matches(block):
                             best[number] = max(share, best.get(number, 0.0))
+                best = {n: named_share(every, templates[n][1], threshold) for n in best}
+                best = {n: share for n, share in best.items() if share}
                 base_labels = {label for _, label in base}
                 labels = base_labels | {index.labels[n] for n in best}
                 row = (

@@ -219,6 +219,24 @@ def test_license_scan_on_planted_notices(spark):
     assert (got[1].first_word, got[1].n_base, got[2].n_words, got[2].first_word) == (2, 1, 0, None)
 
 
+def test_licenses_are_told_apart_by_what_names_them(spark):
+    cc = "Licensed under a Creative Commons Attribution{} 4.0 International License"
+    gnu = "This work is licensed under the GNU {}General Public License version {}"
+    far = "Released " + "word " * 50 + "under the " + "word " * 50 + "MIT or any license"
+    notices = {
+        "Released under the Apache License": "", "Released under the GPL License": "", "Released under the BSD License": "",
+        "Licensed under CC BY 4.0": "", "Licensed under CC BY-SA 4.0": "", "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        cc.format(""): "", cc.format("-NonCommercial"): "cc-by-nc", cc.format("-ShareAlike"): "cc-by-sa",
+        gnu.format("", 2): "", gnu.format("", 3): "gpl-3", gnu.format("Lesser ", 3): "", gnu.format("Affero ", 3): "",
+        "Licensed under the Apache License 2.0": "apache-2", "Released under the MIT License": "mit", far: "",
+        "word " * 500 + gnu.format("", 3) + " word" * 500: "gpl-3",
+    }
+    notices |= {text: label for label, text in licenses.TEMPLATES}
+    rows = list(enumerate(notices))
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {text: got[i] for i, text in rows} == notices
+
+
 def test_pages_come_back_from_archives(spark):
     rows = [(1, "u", "x"), (2, None, "x"), (3, "u\n", None), (4, "v", ""), (None, "w", "x"), (5, "z", "é" * 10), (2, "q", "x")]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, payload int")
