@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import chat, fertility, itq, language_id, licenses, line_dedup, mixing, order_minhash, packing, warc
+from earshot.llm import chat, fertility, hard_negatives, host_reputation, itq, language_id, licenses, line_dedup, mixing
+from earshot.llm import order_minhash, packing, spelling, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,6 +83,33 @@ def op10_kneser_ney_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def op11_l2ap_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector has the next label instead."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_bloom_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling variants among the corpus's words, one run in 31 of which loses a letter first."""
+    words = spelling.corpus_words(table(spark, folder, "documents"), least_chars=7, least_count=2, damage=31)
+    return spelling.variants(words, ratio=10)
+
+
+#: The rules of op13, as (verdict, host and path).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op13_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every page's url. The given tables label documents, not pages; a label is taken as
+    the outcome of the page of the same number."""
+    judged = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
+    bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), F.when(judged, bad).alias("bad"))
+    return host_reputation.judge_urls(table(spark, folder, "pages"), outcomes, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +123,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_itq_near_vectors,
         op10_kneser_ney_language_id,
+        op11_l2ap_hard_negatives,
+        op12_bloom_spelling_variants,
+        op13_host_reputation,
     )
 }
 
@@ -160,4 +191,96 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM hashed JOIN kept USING (payload)
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op7_warc_zip": OP7_SQL}
+OP11_SQL = """
+WITH taking AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM taking a JOIN taking r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+def _level_sql(name: str, children: str) -> str:
+    """Posteriors of one level: `children` with labelled, bad and the parent's mean, mu."""
+    return f"""
+{name}_fit AS (
+    SELECT CASE WHEN more > 0 THEN 1 / greatest(1e-4, least(0.5, (square - one) / more)) - 1 ELSE 10.0 END AS s
+    FROM (SELECT sum((bad - labelled * mu) * (bad - labelled * mu) / labelled) FILTER (WHERE labelled > 0) AS square,
+                 sum(mu * (1 - mu)) FILTER (WHERE labelled > 0) AS one,
+                 sum(mu * (1 - mu) * (labelled - 1)) FILTER (WHERE labelled > 0) AS more
+          FROM {children})
+), {name}_known AS (
+    SELECT *, mu * s + bad AS a, (1 - mu) * s + labelled - bad AS b FROM {children}, {name}_fit
+)"""
+
+
+OP13_SQL = f"""
+WITH parsed AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), judged AS (
+    SELECT doc_id, max(CAST(coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS INTEGER)) AS bad
+    FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
+), counted AS (
+    SELECT host, count(bad) AS labelled, count(*) FILTER (WHERE bad = 1) AS bad
+    FROM parsed LEFT JOIN judged ON page_id = doc_id GROUP BY host
+), split AS (
+    SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), '[.]?(:[0-9]*)?$', ''), '.') AS p,
+           regexp_matches(host, '^([0-9]+[.])+[0-9]+(:[0-9]*)?$|^\\[') AS address
+    FROM counted
+), wide AS (
+    SELECT *, CASE WHEN regexp_matches(p[-1], '^[a-z]{{2}}$') AND len(p) > 2
+                    AND p[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') THEN 2 ELSE 1 END AS width
+    FROM split
+), hosts AS (
+    SELECT host, labelled, bad,
+           CASE WHEN address THEN host ELSE array_to_string(p[greatest(len(p) - width, 1):], '.') END AS domain,
+           CASE WHEN address THEN '' ELSE array_to_string(p[greatest(len(p) - width + 1, 1):], '.') END AS suffix
+    FROM wide
+), domains AS (
+    SELECT domain, suffix, sum(labelled) AS labelled, sum(bad) AS bad FROM hosts GROUP BY domain, suffix
+), suffixes AS (
+    SELECT suffix, labelled, bad, (sum(bad) OVER () + 0.5) / (sum(labelled) OVER () + 1) AS mu
+    FROM (SELECT suffix, sum(labelled) AS labelled, sum(bad) AS bad FROM domains GROUP BY suffix)
+), {_level_sql("suffix", "suffixes")}, below_suffix AS (
+    SELECT domains.*, a / (a + b) AS mu FROM domains JOIN suffix_known USING (suffix)
+), {_level_sql("domain", "below_suffix")}, below_domain AS (
+    SELECT host, h.labelled, h.bad, a / (a + b) AS mu FROM hosts h JOIN domain_known USING (domain)
+), {_level_sql("host", "below_domain")}, blocked AS (
+    SELECT host FROM host_known WHERE a / (a + b) - 3 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5
+), rules(verdict, name, start) AS (
+    VALUES {", ".join(f"('{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)}
+), ruled AS (
+    SELECT parsed.*, (SELECT max(struct_pack(n := length(name || start), h := length(name), rule := name || start, verdict := verdict))
+                      FROM rules WHERE (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)) AS best
+    FROM parsed
+)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+    "op3_chat_formatting": OP3_SQL,
+    "op7_warc_zip": OP7_SQL,
+    "op11_l2ap_hard_negatives": OP11_SQL,
+    "op13_host_reputation": OP13_SQL,
+}

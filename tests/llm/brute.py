@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import collections
+import math
+import re
+import zlib
 
 
 def roots(ids, links):
@@ -64,3 +68,63 @@ def missed_links(links, classes):
     return [(a, b) for a, b in links if classes[a] != classes[b]]
 
 
+
+
+def one_edit(a, b):
+    """Whether one code point inserted, deleted or replaced makes the other word."""
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    same = 0
+    while same < len(a) and a[same] == b[same]:
+        same += 1
+    return a[same + (len(a) == len(b)) :] == b[same + 1 :]
+
+
+def spelling_variants(counts, ratio=10):
+    """word -> (form, root, n, n_near, form_n), all words compared with all."""
+    by_length = {}
+    for word in counts:
+        by_length.setdefault(len(word), []).append(word)
+    near = {w: [] for w in counts}
+    for w in counts:
+        for size in (len(w) - 1, len(w), len(w) + 1):
+            near[w] += [x for x in by_length.get(size, []) if one_edit(w, x)]
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = {}
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, counts[w], len(near[w]), counts.get(form[w]))
+    return out
+
+
+def damaged_words(rows, damage=31):
+    """Counts of the words of (doc_id, text), with the letters that op12 deletes."""
+    counts = collections.Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if damage and h % damage == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def hard_negatives(rows, asked, scale=256, most=5, percent=80):
+    """Sorted results for (vec_id, label, vector) rows that take part, every anchor against every row."""
+    whole = [(i, label, [math.floor(scale * x) for x in v]) for i, label, v in rows]
+    out = []
+    for a, label, v in {(i, x, tuple(v)) for i, x, v in whole if asked(i)}:
+        scored = [(sum(x * y for x, y in zip(v, w)), i, own == label) for i, own, w in whole if i != a]
+        ranked = sorted(scored, key=lambda s: (-s[0], s[1]))
+        for top, positive, _ in [s for s in ranked if s[2]][:most]:
+            fits = [s for s in ranked if not s[2] and percent * top <= 100 * s[0] <= 100 * top]
+            out += [(a, positive, n, i, top, score) for n, (score, i, _) in enumerate(fits[:most], 1)]
+    return sorted(out)
