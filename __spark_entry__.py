@@ -22,7 +22,7 @@ from earshot.plans.staging import stage_events  # noqa: E402
 from earshot.plans.star import REFRESHED, StoredStar  # noqa: E402
 from earshot.session import shared_folder  # noqa: E402
 from earshot.sources import retail  # noqa: E402
-from earshot.sources.inputs import EVENT_LOG, read_csv, write_csv  # noqa: E402
+from earshot.sources.inputs import EVENT_LOG, read_csv, read_log, write_csv  # noqa: E402
 from earshot.streaming.increment import load_increment, stream_increments  # noqa: E402
 from oracle import ORACLE  # noqa: E402
 
@@ -51,6 +51,11 @@ def _check_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_report(stored)
 
 
+def _recorded_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks on single rows as counted while the tables are written."""
+    return quality.recorded_report(_star(spark, folder).write(shared_folder(spark, "star")))
+
+
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """The log written as a fully quoted file, read back, and cleaned; ids are text there."""
     path = os.path.join(shared_folder(spark, "csv"), "event_logs.csv")
@@ -58,12 +63,28 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return stage_events(read_csv(spark, path, EVENT_LOG))
 
 
+def _damaged_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as a file in which some durations are no numbers, staged with those lines kept."""
+    path = os.path.join(shared_folder(spark, "damaged"), "event_logs.csv")
+    inputs = retail.from_retail(spark, folder)
+    seconds = F.when(F.col("duration") % 50 == 7, F.concat(F.lit("x"), "duration")).otherwise(F.col("duration").cast("string"))
+    write_csv(inputs.event_logs.withColumn("duration", seconds), path)
+    return stage_events(read_log(spark, path)).select(
+        "event_id", "event_timestamp_raw", "is_rejected", "rejection_reason_count", "rejection_reason_summary"
+    )
+
+
 def _ltr_by_region(spark: SparkSession, folder: str) -> DataFrame:
     regions = retail.regions(retail.table(spark, folder, "nation"), retail.table(spark, folder, "region"))
     return audience.ltr_by_region(_star(spark, folder), regions)
 
 
-def _user_snapshots(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
+SNAPSHOT_DAYS = ("2024-01-01", "2024-02-01", "2024-03-01")
+
+
+def _user_snapshots(
+    spark: SparkSession, folder: str, days: tuple[str, str, str] = SNAPSHOT_DAYS
+) -> list[tuple[str, DataFrame]]:
     """Three states of the user table: later ones move some users to another country, lack some,
     and have some the first one lacked."""
     users = _star(spark, folder).stg_users
@@ -74,17 +95,23 @@ def _user_snapshots(spark: SparkSession, folder: str) -> list[tuple[str, DataFra
 
     second = users.where(key % 50 != 7).withColumn("country", moved(3, "NATION_0"))
     third = second.withColumn("country", moved(4, "NATION_1"))
-    return [("2024-01-01", users.where(key % 40 != 9)), ("2024-02-01", second), ("2024-03-01", third)]
+    return list(zip(days, (users.where(key % 40 != 9), second, third)))
 
 
-def _dim_users_history(spark: SparkSession, folder: str) -> DataFrame:
-    (day, first), *later = _user_snapshots(spark, folder)
+def _dim_users_history(spark: SparkSession, folder: str, days: tuple[str, str, str] = SNAPSHOT_DAYS) -> DataFrame:
+    (day, first), *later = _user_snapshots(spark, folder, days)
     versions = history.open_history(first, F.lit(day))
     for day, snapshot in later:
         versions = history.apply_snapshot(versions, snapshot, "user_id", ["country"], F.lit(day))
     return versions
 
 
+def _ltr_by_country_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """With snapshots taken while the events happen: some users move, some are not known at first."""
+    versions = _dim_users_history(spark, folder, ("2024-01-05", "2024-01-12", "2024-01-20"))
+    return _rounded(analyses.ltr_by_country_as_of(_star(spark, folder), versions), RATE)
+
+
 def _loaded_twice(spark: SparkSession, folder: str) -> StoredStar:
     """A first load of the earlier events, when every seventh episode is not known yet, then a second
     one of everything, which repeats them."""
@@ -140,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # Checks, one query per kind and one report with all of them.
     **{name: _on_star(check) for name, check in quality.CHECKS.items()},
     "check_report": _check_report,
+    "recorded_report": _recorded_report,
     # Profile of the raw log.
     "raw_log_profile": _on_star(
         profile.raw_log_profile, "rejected_share", "overrun_share", "avg_listen_through"
@@ -147,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_log_profile_by_bucket": _on_star(profile.raw_log_profile_by_bucket, "avg_listen_through"),
     # Files out and in again.
     "csv_round_trip": _csv_round_trip,
+    "damaged_log": _damaged_log,
     # Further questions, and loading bit by bit.
     "incremental_fact": _on_loaded(lambda s: s.fact),
     "incremental_daily_activity": _on_loaded(lambda s: s.daily_activity),
@@ -169,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "heavy_user_concentration": _on_star(audience.heavy_user_concentration, "share_of_listens"),
     "cohort_retention": _on_star(audience.cohort_retention, "retention_rate"),
     "dim_users_history": _dim_users_history,
+    "ltr_by_country_as_of": _ltr_by_country_as_of,
     "ltr_by_region": lambda spark, folder: _rounded(_ltr_by_region(spark, folder), RATE),
     "feature_impact": _on_star(
         lambda s: audience.feature_impact(s, F.col("user_id") % 2 == 0),

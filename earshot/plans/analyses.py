@@ -9,6 +9,7 @@ from earshot.functions import listening as ls
 from earshot.operators.ranking import best_per_group, rank_by, top
 from earshot.operators.rules import flag_columns
 from earshot.plans import staging
+from earshot.plans.history import in_force
 from earshot.plans.star import Star
 
 
@@ -113,6 +114,25 @@ def _ltr_by_episode_column(star: Star, column: str) -> DataFrame:
     return heard.groupBy(column).agg(F.avg("listen_through_rate").alias("avg_listen_through_rate"))
 
 
+def ltr_by_country_as_of(star: Star, users_history: DataFrame) -> DataFrame:
+    """Mean rate by the country that a user had on the day of the event, null where none was known yet.
+
+    Rates are summed by user and day first, so a hot user meets the lookup as one row a day.
+    """
+    rate = F.col("listen_through_rate")
+    per_day = (
+        star.events.where(rate.isNotNull())
+        .groupBy("user_id", "event_date")
+        .agg(F.sum(rate).alias("rate_sum"), F.count(rate).alias("rates"))
+    )
+    placed = in_force(per_day, users_history, "user_id", "event_date", ["country"], ["event_date"], star.broadcast_limit)
+    return (
+        placed.groupBy("country")
+        .agg(F.sum("rates").alias("listen_events"), (F.sum("rate_sum") / F.sum("rates")).alias("avg_listen_through_rate"))
+        .orderBy(F.col("country").asc_nulls_last())
+    )
+
+
 def ltr_by_podcast(star: Star) -> DataFrame:
     return rank_by(_ltr_by_episode_column(star, "podcast_id"), "avg_listen_through_rate", "podcast_id")
 

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.operators.lookup import BROADCAST_LIMIT, lookup_join
+
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
 
@@ -56,3 +58,34 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: S
         .otherwise(F.array(closed, opened))
     )
     return both.select(F.inline(versions))
+
+
+def in_force(
+    rows: DataFrame,
+    history: DataFrame,
+    key: str,
+    day: str,
+    attributes: Sequence[str],
+    spread_on: list[str],
+    limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """`rows` with the `attributes` that `key` had on `day`: those of the version with valid_from <= day <
+    valid_to, null where there was none yet, or where key or day is null. No row is lost or repeated.
+
+    The versions of a key, as many as it had snapshots with a change, become one row with a list, so this is
+    a lookup by key: broadcast where the history is measured to be small, and hot keys cut into pieces by a
+    hash of `spread_on` where it is not. The day picks from the list; there is no range condition between
+    tables, and no sorting of all rows of a key.
+    """
+    version = F.struct("valid_from", "valid_to", *attributes)
+    versions = history.groupBy(key).agg(F.collect_list(version).alias("_versions"))
+    found = lookup_join(rows, versions, key, spread_on=spread_on, profile=rows, limit=limit)
+
+    def covers(v: Column) -> Column:
+        return (v["valid_from"] <= F.col(day)) & (v["valid_to"].isNull() | (F.col(day) < v["valid_to"]))
+
+    # Versions of a key do not overlap; were two to, the later one would count.
+    then = F.array_max(F.filter("_versions", covers))
+    return found.withColumn("_then", then).select("*", *[F.col(f"_then.{a}").alias(a) for a in attributes]).drop(
+        "_versions", "_then"
+    )

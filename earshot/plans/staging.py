@@ -9,7 +9,8 @@ from earshot.functions.calendar import parse_timestamp
 from earshot.functions.keys import surrogate_key
 from earshot.functions.listening import is_listen
 from earshot.operators.dedup import distinct_rows
-from earshot.operators.rules import flag_rules
+from earshot.operators.rules import flag_columns, flag_rules
+from earshot.sources.inputs import DAMAGED
 
 # The raw columns in the order in which they enter the key, and the reasons in the
 # order in which they are listed in a summary.
@@ -23,6 +24,8 @@ REASONS = (
     "missing_duration",
 )
 RULESET_VERSION = "1"
+# The only reason of a line that could not be read; it has no flag of its own.
+DAMAGED_LINE = "damaged_line"
 
 
 def stage_users(users: DataFrame) -> DataFrame:
@@ -36,7 +39,8 @@ def stage_episodes(episodes: DataFrame) -> DataFrame:
 
 
 def raw_events(event_logs: DataFrame) -> DataFrame:
-    return event_logs.withColumnRenamed("timestamp", "event_timestamp_raw").select(*RAW_COLUMNS)
+    marked = [DAMAGED] if DAMAGED in event_logs.columns else []
+    return event_logs.withColumnRenamed("timestamp", "event_timestamp_raw").select(*RAW_COLUMNS, *marked)
 
 
 def event_rules() -> dict[str, Column]:
@@ -54,15 +58,24 @@ def event_rules() -> dict[str, Column]:
 
 
 def flag_events(raw: DataFrame, version: str | None = None) -> DataFrame:
-    """Key, parsed timestamp and validity flags; looks at each row alone, so it streams as well."""
+    """Key, parsed timestamp and validity flags; looks at each row alone, so it streams as well.
+
+    A row that stands for a damaged line is rejected for that alone, and its key is that of the line.
+    """
+    key, rules, damaged = surrogate_key(*RAW_COLUMNS), event_rules(), F.lit(False)
+    if DAMAGED in raw.columns:
+        damaged = F.coalesce(DAMAGED, F.lit(False))
+        key = F.when(damaged, surrogate_key(DAMAGED, "event_timestamp_raw")).otherwise(key)
+        rules = {**{reason: ~damaged & rule for reason, rule in rules.items()}, DAMAGED_LINE: damaged}
     keyed = raw.select(
-        surrogate_key(*RAW_COLUMNS).alias("event_id"),
+        key.alias("event_id"),
         *RAW_COLUMNS[:4],
-        parse_timestamp(F.col("event_timestamp_raw")).alias("event_datetime"),
+        F.when(~damaged, parse_timestamp(F.col("event_timestamp_raw"))).alias("event_datetime"),
         *RAW_COLUMNS[4:],
         *[c for c in raw.columns if c not in RAW_COLUMNS],
     )
-    return flag_rules(keyed, event_rules(), version)
+    # The mark has the name of the flag that its rule gives, and goes with it.
+    return flag_rules(keyed, rules, version).drop(*flag_columns({DAMAGED_LINE: damaged}))
 
 
 def stage_events(event_logs: DataFrame, copies: str | None = None, version: str | None = None) -> DataFrame:

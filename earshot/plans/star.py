@@ -5,15 +5,17 @@ from __future__ import annotations
 import os
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions import calendar as cal
 from earshot.functions import listening as ls
+from earshot.operators import checks
 from earshot.operators.lookup import BROADCAST_LIMIT, lookup_join
 from earshot.operators.rules import flag_columns, split_quarantine
-from earshot.plans import staging
+from earshot.operators.versions import State, publish, read_state
+from earshot.plans import rollup, staging
 from earshot.sources.inputs import Inputs
 
 # The published tables and their columns, in order.
@@ -24,6 +26,9 @@ DAILY = "int_user_daily_activity"
 MART = "mart_user_engagement"
 REFRESHED = "data_refreshed_on"
 RULESET = "rejection_ruleset_version"
+# What only the engine reads: the days on which an episode has events, and the copies of a staged event.
+EPISODE_DAYS = "episode_days"
+COPIES = "_copies"
 FACT_COLUMNS = [
     "event_id",
     "user_id",
@@ -210,8 +215,8 @@ class Star:
 
     def accounted(self) -> tuple[DataFrame, Column]:
         """All staged events, measured, and an aggregate over them that counts the raw rows."""
-        staged = staging.stage_events(self.inputs.event_logs, copies="_copies")
-        return measure(self.look_up_episodes(staged)), F.sum("_copies")
+        staged = staging.stage_events(self.inputs.event_logs, copies=COPIES)
+        return measure(self.look_up_episodes(staged)), F.sum(COPIES)
 
     @cached_property
     def flagged_log(self) -> DataFrame:
@@ -251,6 +256,12 @@ class Star:
         """All staged events, valid and rejected, with everything known about them."""
         return measure(self.look_up_episodes(self.versioned)).select(*EVENT_COLUMNS)
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """`classified` with the number of raw rows that each event merges."""
+        staged = staging.stage_events(self.inputs.event_logs, copies=COPIES, version=staging.RULESET_VERSION)
+        return measure(self.look_up_episodes(staged)).select(*EVENT_COLUMNS, COPIES)
+
     @cached_property
     def event_schema(self) -> T.StructType:
         """Schema of `classified`, without planning the lookup."""
@@ -320,56 +331,168 @@ class Star:
     def write(self, folder: str) -> "StoredStar":
         """Write the tables once, into a new folder, and return the star that reads them. The log is
         read and cleaned once for the fact and the quarantine together, then dealt out by day."""
-        write_events(self.classified, folder)
-        self.write_dimensions(folder)
-        return self.write_derived(folder)
-
-    def write_dimensions(self, folder: str, mode: str = "errorifexists") -> None:
-        self.dim_users.write.mode(mode).parquet(os.path.join(folder, "dim_users"))
-        self.dim_episodes.write.mode(mode).parquet(os.path.join(folder, "dim_episodes"))
-
-    def write_derived(self, folder: str, mode: str = "errorifexists") -> "StoredStar":
-        """Write what follows from the events and dimensions that `folder` holds."""
-        stored = StoredStar(folder, self.inputs, self.broadcast_limit)
-        user_daily_activity(stored.events).write.mode(mode).parquet(os.path.join(folder, DAILY))
-        user_engagement(stored.events, stored.dim_users).write.mode(mode).parquet(os.path.join(folder, MART))
-        return stored
-
-
-def write_events(events: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """One table, partitioned by validity and day: the fact and the quarantine are read from their own
+        spark = self.inputs.users.sparkSession
+        if read_state(spark, folder) is not None:
+            raise ValueError(f"{folder} holds a star already; load_increment adds to it")
+        raw = self.inputs.event_logs.agg(F.count(F.lit(1))).first()[0]
+        state = write_load(self, self.counted, folder, None, {"raw": raw})
+        return write_derived(StoredStar(folder, self.inputs, self.broadcast_limit, state), 1)
+
+
+#: What is counted of a dimension while it is written.
+DIMENSION_TOTALS = {
+    "dim_users": {"users_without_id": "user_id IS NULL"},
+    "dim_episodes": {
+        "episodes_without_id": "episode_id IS NULL",
+        "episodes_unknown_bucket": "episode_length_bucket NOT IN ({})".format(", ".join(f"'{b}'" for b in ls.LENGTH_BUCKETS)),
+    },
+}
+
+
+def write_totals() -> dict[str, Column]:
+    """What is counted of the events while they are written; `quality.recorded_report` reads it."""
+    rejected, valid = F.col("is_rejected"), ~F.col("is_rejected")
+    listen, capped = F.col("is_listen_event"), F.col("duration_capped_seconds")
+    return {
+        "fact": F.count_if(valid),
+        "quarantine": F.count_if(rejected),
+        "fact_without_id": F.count_if(valid & F.col("event_id").isNull()),
+        "quarantine_without_id": F.count_if(rejected & F.col("event_id").isNull()),
+        "fact_unknown_type": F.count_if(valid & checks.is_not_among("event_type", ls.EVENT_TYPES)),
+        "fact_capped_null_rule": F.count_if(valid & (listen == capped.isNull())),
+        "quarantine_without_reason": F.count_if(rejected & (F.col("rejection_reason_count") == 0)),
+    }
+
+
+def write_events(events: DataFrame, folder: str, load: int) -> dict[str, int]:
+    """One table, partitioned by load, validity and day: the fact and the quarantine are read from their own
     folders of it, and both change in one step. The rebalance hint lets Spark split a day that holds a
-    large share of the rows and merge small ones, so no task writes a whole hot day."""
+    large share of the rows and merge small ones, so no task writes a whole hot day.
+
+    Returns `write_totals`, and the raw rows merged, observed where the rows are written: behind the last
+    shuffle, where a task that is run again counts once.
+    """
     partitions = ["is_rejected", "event_date"]
-    writer = events.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    # An overwrite replaces the days that `events` has; with appends this changes nothing.
-    writer.option("partitionOverwriteMode", "dynamic").mode(mode).parquet(os.path.join(folder, EVENTS))
+    seen = Observation()
+    totals = {**write_totals(), "copies": F.sum(COPIES)}
+    dealt = events.hint("rebalance", *partitions).observe(seen, *[c.alias(name) for name, c in totals.items()])
+    # A load that died may have left rows of its own behind: its whole place is written over.
+    target = os.path.join(folder, EVENTS, f"load={load}")
+    dealt.drop(COPIES).write.partitionBy(*partitions).mode("overwrite").parquet(target)
+    return {name: seen.get.get(name) or 0 for name in totals}
+
+
+def write_load(
+    star: "Star",
+    events: DataFrame,
+    folder: str,
+    before: State | None,
+    totals: dict[str, int],
+    days: list[str] = (),
+) -> State:
+    """Write `events` (with their copies) and what follows from them as the next load, and return the state that
+    shows it, which is not published yet. On `days` only this load's rows count. Work is in proportion to
+    `events`: nothing older is read. `totals` are added to those of the state and of the events."""
+    load = before.version + 1 if before else 1
+    counted = write_events(events, folder, load)
+    spark = star.inputs.users.sparkSession
+    written = spark.read.schema(star.event_schema).parquet(os.path.join(folder, EVENTS, f"load={load}"))
+    by_day = rollup.roll_up(fact_rows(written)).hint("rebalance", "event_date")
+    by_day.write.partitionBy("event_date").mode("overwrite").parquet(os.path.join(folder, rollup.ROLLUP, f"load={load}"))
+    found = written.where(F.col("episode_id").isNotNull()).select("episode_id", "event_date").distinct()
+    found.write.mode("overwrite").parquet(os.path.join(folder, EPISODE_DAYS, f"load={load}"))
+    tables = dict(before.tables) if before else {}
+    known = StoredStar(folder, star.inputs, star.broadcast_limit, before) if before else None
+    sums = dict(before.totals) if before else {}
+    for name, conditions in DIMENSION_TOTALS.items():
+        new = getattr(star, name)
+        if known is None or not same_rows(getattr(known, name), new):
+            seen = Observation()
+            observed = new.observe(seen, *[F.count_if(F.expr(bad)).alias(total) for total, bad in conditions.items()])
+            observed.write.mode("overwrite").parquet(os.path.join(folder, name, f"v{load}"))
+            tables[name] = load
+            sums |= {total: seen.get.get(total) or 0 for total in conditions}
+    for name, value in [*counted.items(), *totals.items()]:
+        sums[name] = sums.get(name, 0) + value
+    since = {**(before.days if before else {}), **dict.fromkeys(days, load)}
+    return State(load, before.first if before else 1, tables, since, sums)
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two dimensions say the same, whenever they were computed."""
+    columns = [c for c in a.columns if c != REFRESHED]
+    both = a.select(*columns, F.lit(1).alias("_n")).union(b.select(*columns, F.lit(-1).alias("_n")))
+    return both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n != 0").isEmpty()
+
+
+def write_derived(stored: "StoredStar", version: int) -> "StoredStar":
+    """Write daily activity and user mart from the roll-up that `stored` shows, and publish them with its
+    state as `version`. Readers then need not merge the roll-up."""
+    state, folder = stored.state, stored.folder
+    for name, table in ((DAILY, stored.merged_daily), (MART, stored.merged_engagement)):
+        table.write.mode("overwrite").parquet(os.path.join(folder, name, f"v{version}"))
+    state = State(version, state.first, {**state.tables, DAILY: version, MART: version}, state.days, state.totals)
+    publish(stored.spark, folder, state)
+    return StoredStar(folder, stored.inputs, stored.broadcast_limit, state)
 
 
 class StoredStar(Star):
-    """The same tables read from a folder written by `Star.write`; nothing is cleaned again, unless
-    `cleaned_log` is asked for. The folder may hold more events than `inputs`, which then are the last batch."""
+    """The same tables read from a folder written by `Star.write` or by loads; nothing is cleaned again, unless
+    `cleaned_log` is asked for. The folder may hold more events than `inputs`, which then are the last batch.
 
-    def __init__(self, folder: str, inputs: Inputs, broadcast_limit: int = BROADCAST_LIMIT):
+    The star shows the state that the folder had when it was made, or the one given, also while a load
+    adds to it. Daily activity and user mart are read where they were written for that state, and merged
+    from the roll-up otherwise.
+    """
+
+    def __init__(self, folder: str, inputs: Inputs, broadcast_limit: int = BROADCAST_LIMIT, state: State | None = None):
         super().__init__(inputs, broadcast_limit)
         self.folder = folder
+        self.spark = inputs.users.sparkSession
+        self.state = state or read_state(self.spark, folder)
+        if self.state is None:
+            raise FileNotFoundError(f"{folder} holds no star")
+
+    def _whole(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(os.path.join(self.folder, name, f"v{self.state.tables[name]}"))
 
-    def _read(self, name: str) -> DataFrame:
-        return self.inputs.users.sparkSession.read.parquet(os.path.join(self.folder, name))
+    def _grown(self, name: str, schema: T.StructType) -> DataFrame:
+        """What this state shows of a table that grows by loads. The schema is given: a table without rows, or
+        without any known day, does not tell it."""
+        with_load = T.StructType([*schema.fields, T.StructField("load", T.IntegerType())])
+        rows = self.spark.read.schema(with_load).parquet(os.path.join(self.folder, name))
+        return rows.where(self.state.visible(F.col("load"), F.col("event_date"))).select(*schema.fieldNames())
 
     @cached_property
     def dim_users(self) -> DataFrame:
-        return self._read("dim_users")
+        return self._whole("dim_users")
 
     @cached_property
     def dim_episodes(self) -> DataFrame:
-        return self._read("dim_episodes")
+        return self._whole("dim_episodes")
 
     @cached_property
     def classified(self) -> DataFrame:
-        """The schema is given: a table without rows, or without any known day, does not tell it."""
-        reader = self.inputs.users.sparkSession.read.schema(self.event_schema)
-        return reader.parquet(os.path.join(self.folder, EVENTS)).select(*EVENT_COLUMNS)
+        return self._grown(EVENTS, self.event_schema).select(*EVENT_COLUMNS)
+
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return self._grown(rollup.ROLLUP, rollup.roll_up(self.events).schema)
+
+    @cached_property
+    def episode_days(self) -> DataFrame:
+        schema = self.event_schema
+        return self._grown(EPISODE_DAYS, T.StructType([schema["episode_id"], schema["event_date"]]))
+
+    def rows_now(self) -> tuple[int, int]:
+        """Rows of the fact and of the quarantine, as the files of this state say: no column is read."""
+        counts = self._grown(EVENTS, self.event_schema).groupBy("is_rejected").agg(F.count(F.lit(1)).alias("n")).collect()
+        by_side = {r["is_rejected"]: r["n"] for r in counts}
+        return by_side.get(False, 0), by_side.get(True, 0)
+
+    def is_written(self, name: str) -> bool:
+        """Whether a derived table was written for this very state."""
+        return self.state.tables.get(name) == self.state.version
 
     @property
     def versioned(self) -> DataFrame:
@@ -403,13 +526,21 @@ class StoredStar(Star):
     def quarantine(self) -> DataFrame:
         return split_quarantine(self.classified)[1]
 
+    @cached_property
+    def merged_daily(self) -> DataFrame:
+        return rollup.daily_activity(self.rollup, REFRESHED)
+
+    @cached_property
+    def merged_engagement(self) -> DataFrame:
+        return rollup.engagement(self.rollup, self.dim_users, REFRESHED)
+
     @cached_property
     def daily_activity(self) -> DataFrame:
-        return self._read(DAILY)
+        return self._whole(DAILY) if self.is_written(DAILY) else self.merged_daily
 
     @cached_property
     def engagement(self) -> DataFrame:
-        return self._read(MART)
+        return self._whole(MART) if self.is_written(MART) else self.merged_engagement
 
     @cached_property
     def daily_variety(self) -> DataFrame:

@@ -1,71 +1,127 @@
-"""Incremental load of the fact and its quarantine, from a batch or from a stream of log files."""
+"""Incremental load of the star, from a batch or from a stream of log files."""
 
 from __future__ import annotations
 
-import os
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from earshot.plans.star import EVENT_COLUMNS, EVENTS, OWN_COLUMNS, Star, StoredStar, measure, write_events
-from earshot.session import shared_folder
+from earshot.operators.versions import NO_DAY, State, publish, read_state
+from earshot.plans.star import (
+    COPIES,
+    EVENT_COLUMNS,
+    OWN_COLUMNS,
+    Star,
+    StoredStar,
+    episode_attributes,
+    measure,
+    write_derived,
+    write_load,
+    write_totals,
+)
 from earshot.sources.inputs import Inputs
 
 
-def load_increment(batch: Inputs, folder: str, refresh: bool = True) -> None:
-    """Add the events of `batch.event_logs` that `folder` does not hold yet.
+def load_increment(batch: Inputs, folder: str, refresh: bool = False) -> State:
+    """Add the events of `batch.event_logs` that `folder` does not hold yet, and show them in one step.
 
     An event's id is a function of its raw content, and so is its day. Loading the same rows again,
     after a failure or in an overlapping batch, therefore adds nothing, and what is already loaded is
     searched in the days the batch touches: partitions between the first and the last of them are read, and
-    joined with the days. Valid and rejected events, however
-    late, are added in one write; one that died is repaired by running it again.
-
-    With `refresh` the dimensions of the batch are written anew, events whose episode arrived or changed
-    since are measured again, and daily activity and user mart follow from the events, so that all tables
-    of the folder are what one load of everything would have given; without it, `refresh_tables` has to
-    be called after the last of several loads.
+    joined with the days. Late events are found and added whatever their age.
+
+    Everything follows a load in proportion to it. Events are rolled up by user, episode and day, which adds
+    rows to those of earlier loads; daily activity and user mart are merged from there when they are
+    read (`refresh_tables` writes them down). Episodes that arrived, changed or went since the last load
+    are told by comparing the two dimensions; the days on which they have events, known from a table
+    of these, are measured again and take the place of the old ones. The dimensions of the batch
+    replace the stored ones if they differ.
+
+    Nothing that readers see is touched: all is written to places of this load and named in one small
+    file at the end (`earshot.operators.versions`). A load that dies before shows nothing and is made good
+    by running it again. One load at a time.
     """
     star = Star(batch)
-    new = star.classified
-    loaded = _loaded(new, folder)
-    if loaded is not None:
-        days = star.flagged_log.select(F.to_date("event_datetime").alias("_day")).distinct()
-        searched = loaded.where(_within(days)).join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
-        new = new.join(searched.select("event_id"), "event_id", "left_anti").select(*new.columns)
-    write_events(new, folder, mode="append")
-    if refresh:
-        refresh_tables(batch, folder)
-
-
-def refresh_tables(inputs: Inputs, folder: str) -> None:
-    """Write the dimensions of `inputs`, bring the stored events up to them, and write the daily activity
-    and the user mart: each is one grouping of the fact, as in a first write."""
-    star = Star(inputs)
-    star.write_dimensions(folder, "overwrite")
-    remeasure(StoredStar(folder, inputs))
-    star.write_derived(folder, "overwrite")
-
-
-def remeasure(stored: StoredStar) -> None:
-    """Measure stored events again whose episode arrived, changed or went since; usually there are none.
-
-    The days with such events are written anew as a whole and take the place of the old ones when the
-    job commits. What differs is found by comparing events and dimension, not by remembering what
-    changed: it does not matter which load wrote an event, and a run that died is made good by the next.
+    spark = batch.users.sparkSession
+    state = read_state(spark, folder)
+    if state is None:
+        new, days, totals = star.counted, [], {}
+    else:
+        stored = StoredStar(folder, batch, state=state)
+        new, days, totals = unknown_events(star, stored), stale_since(stored, star), {}
+        if days:
+            again, totals = measured_again(stored, star, days)
+            new = new.unionByName(again)
+    published = write_load(star, new, folder, state, totals, days)
+    publish(spark, folder, published)
+    return refresh_tables(batch, folder) if refresh else published
+
+
+def unknown_events(star: Star, stored: StoredStar) -> DataFrame:
+    """Events of a batch that the stored star does not hold, measured, with their copies."""
+    days = star.flagged_log.select(F.to_date("event_datetime").alias("_day")).distinct()
+    searched = stored.classified.where(_within(days))
+    searched = searched.join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
+    new = star.counted
+    return new.join(searched.select("event_id"), "event_id", "left_anti").select(*new.columns)
+
+
+def lost_events(batch: Inputs, folder: str) -> DataFrame:
+    """Events of a batch that is loaded and that the star does not hold: none, unless something went wrong.
+    Reads the days of the batch only."""
+    star = Star(batch)
+    return unknown_events(star, StoredStar(folder, batch)).drop(COPIES)
+
+
+def stale_since(stored: StoredStar, star: Star) -> list[str]:
+    """Days with events of episodes of which the dimension of `star` says something else than the stored one.
+
+    Two dimensions are compared, and the days of those episodes looked up; their list, one line a calendar
+    day at most, goes to the driver.
     """
-    spark = stored.dim_episodes.sparkSession
-    found, path = stored.stale_days(), shared_folder(spark, "stale-days")
-    found.write.parquet(path)
-    days = spark.read.schema(found.schema).parquet(path)
-    if days.isEmpty():
-        return
-    events = stored.classified.where(_within(days))
-    events = events.join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi").select(*OWN_COLUMNS)
-    again = measure(stored.look_up_episodes(events, profile=events)).select(*EVENT_COLUMNS)
-    write_events(again, stored.folder, mode="overwrite")
+    was, now = (
+        episode_attributes(s.dim_episodes).select(
+            "episode_id", F.struct(*[c for c in episode_attributes(s.dim_episodes).columns if c != "episode_id"]).alias(name)
+        )
+        for s, name in ((stored, "was"), (star, "now"))
+    )
+    changed = was.join(now, "episode_id", "full").where(~F.col("was").eqNullSafe(F.col("now")))
+    changed = changed.select("episode_id").distinct()
+    if changed.isEmpty():
+        return []
+    days = stored.episode_days.join(changed, "episode_id", "left_semi").select("event_date").distinct()
+    return sorted(str(r["event_date"] or NO_DAY) for r in days.collect())
+
+
+def measured_again(stored: StoredStar, star: Star, days: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The stored events of `days`, measured with the episodes of `star`, and what the totals lose when these
+    take their place. Their raw rows have been counted already."""
+    known = F.coalesce(F.col("event_date").isin(*[F.lit(d).cast("date") for d in days if d != NO_DAY]), F.lit(False))
+    old = stored.classified.where(known | F.col("event_date").isNull() if NO_DAY in days else known)
+    counts = old.agg(*[c.alias(name) for name, c in write_totals().items()]).first().asDict()
+    own = old.select(*OWN_COLUMNS)
+    again = measure(star.look_up_episodes(own, profile=own)).select(*EVENT_COLUMNS)
+    return again.withColumn(COPIES, F.lit(0).cast("long")), {name: -n for name, n in counts.items()}
+
+
+def refresh_tables(inputs: Inputs, folder: str) -> State:
+    """Write daily activity and user mart down for the state that `folder` shows, where many readers come
+    between two loads. They are merged from the roll-up, as readers do otherwise."""
+    stored = StoredStar(folder, inputs)
+    return write_derived(stored, stored.state.version + 1).state
+
+
+def compact(inputs: Inputs, folder: str) -> State:
+    """Write the events that `folder` shows anew as one load, when many small loads have left many small
+    files. Places of loads before `State.first` are not read any more once nobody reads an older state."""
+    stored = StoredStar(folder, inputs)
+    # The dimensions are those that the events were measured with.
+    events = stored.classified.withColumn(COPIES, F.lit(0).cast("long"))
+    before = stored.state
+    written = write_load(stored, events, folder, before, {name: -before.totals.get(name, 0) for name in write_totals()})
+    state = State(written.version, written.version, written.tables, {}, written.totals)
+    publish(stored.spark, folder, state)
+    return state
 
 
 def stream_increments(
@@ -74,7 +130,7 @@ def stream_increments(
     folder: str,
     checkpoint: str,
     available_now: bool = True,
-    refresh: bool = True,
+    refresh: bool = False,
 ) -> StreamingQuery:
     """Run `load_increment` on every micro-batch of a streaming log.
 
@@ -91,16 +147,6 @@ def stream_increments(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _loaded(like: DataFrame, folder: str) -> DataFrame | None:
-    """What the folder holds, or None before the first load."""
-    try:
-        return like.sparkSession.read.schema(like.schema).parquet(os.path.join(folder, EVENTS))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def _within(days: DataFrame) -> Column:
     """Between the first and the last of the days, or without one if the days have a null: a filter on
     the partitions. One line of the batch goes to the driver."""

@@ -346,15 +346,15 @@ _HEAVY = """
     WHERE place <= (p.percent * users + 99) // 100
     GROUP BY p.percent"""
 
-_HISTORY = """
+_VERSIONS = """
     , snapshots AS (
-        SELECT DATE '2024-01-01' AS taken, user_id, signup_date, country FROM people WHERE user_id % 40 <> 9
+        SELECT DATE '{0}' AS taken, user_id, signup_date, country FROM people WHERE user_id % 40 <> 9
         UNION ALL
-        SELECT DATE '2024-02-01', user_id, signup_date,
+        SELECT DATE '{1}', user_id, signup_date,
                CASE WHEN user_id % 10 = 3 THEN 'NATION_0' ELSE country END
         FROM people WHERE user_id % 50 <> 7
         UNION ALL
-        SELECT DATE '2024-03-01', user_id, signup_date,
+        SELECT DATE '{2}', user_id, signup_date,
                CASE WHEN user_id % 10 = 3 THEN 'NATION_0' WHEN user_id % 10 = 4 THEN 'NATION_1'
                     ELSE country END
         FROM people WHERE user_id % 50 <> 7
@@ -362,13 +362,40 @@ _HISTORY = """
     starts AS (
         SELECT * FROM (SELECT *, lag(country) OVER (PARTITION BY user_id ORDER BY taken) AS earlier FROM snapshots)
         WHERE earlier IS NULL OR earlier <> country
+    ),
+    versions AS (
+        SELECT user_id, signup_date, country, taken AS valid_from,
+               lead(taken) OVER (PARTITION BY user_id ORDER BY taken) AS valid_to,
+               lead(taken) OVER (PARTITION BY user_id ORDER BY taken) IS NULL AS is_current
+        FROM starts
+    )"""
+
+_HISTORY = _VERSIONS.format("2024-01-01", "2024-02-01", "2024-03-01") + " SELECT * FROM versions"
+
+_AS_OF = (
+    _VERSIONS.format("2024-01-05", "2024-01-12", "2024-01-20")
+    + """
+    SELECT v.country, count(*) AS listen_events, round(avg(listen_through_rate), 6) AS avg_listen_through_rate
+    FROM fact f LEFT JOIN versions v ON v.user_id = f.user_id AND v.valid_from <= f.event_date
+                                    AND (v.valid_to IS NULL OR f.event_date < v.valid_to)
+    WHERE listen_through_rate IS NOT NULL GROUP BY v.country"""
+)
+
+_DAMAGED = """
+    , lines AS (
+        SELECT DISTINCT '"' || coalesce(event_type, '') || '","' || coalesce(CAST(user_id AS VARCHAR), '') || '","'
+               || coalesce(CAST(episode_id AS VARCHAR), '') || '","' || coalesce(event_timestamp_raw, '') || '","x'
+               || duration || '"' AS line
+        FROM log WHERE duration % 50 = 7
     )
-    SELECT user_id, signup_date, country, taken AS valid_from,
-           lead(taken) OVER (PARTITION BY user_id ORDER BY taken) AS valid_to,
-           lead(taken) OVER (PARTITION BY user_id ORDER BY taken) IS NULL AS is_current
-    FROM starts"""
+    SELECT event_id, event_timestamp_raw, is_rejected, rejection_reason_count, rejection_reason_summary
+    FROM staged WHERE duration IS NULL OR duration % 50 <> 7
+    UNION ALL
+    SELECT md5('4:true' || length(line) || ':' || line), line, true, 1, 'damaged_line' FROM lines"""
 
 _STATEMENTS = {
+    "damaged_log": _DAMAGED,
+    "ltr_by_country_as_of": _AS_OF,
     "stg_users": "SELECT * FROM people",
     "stg_episodes": "SELECT * FROM shows",
     "stg_event_logs": f"SELECT {_STAGED_COLUMNS} FROM staged",
@@ -424,6 +451,13 @@ _STATEMENTS = {
         WHERE place = 1""",
     **{name: _union(parts) for name, parts in _CHECKS.items()},
     "check_report": _union([part for parts in _CHECKS.values() for part in parts]),
+    "recorded_report": _union(
+        [
+            part
+            for name in ("not_null", "accepted_values", "capped_null_rule", "rejected_has_reason", "reconciliation")
+            for part in _CHECKS[f"check_{name}"]
+        ]
+    ),
     "raw_log_profile": """
         SELECT count(*) AS events, count(*) FILTER (bad) AS rejected,
                round(CAST(count(*) FILTER (bad) AS DOUBLE) / count(*), 6) AS rejected_share,

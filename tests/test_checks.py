@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from earshot import Star
 from earshot.operators import checks as c
 from earshot.plans import quality
+from earshot.plans.star import StoredStar
 from earshot.session import shared_folder
-from tests.frames import ANN, BOB, LONG, MEDIUM, SHORT, event, rows, star
+from earshot.streaming.increment import load_increment
+from tests.frames import ANN, BOB, LONG, MEDIUM, SHORT, event, inputs, rows, star
 
 
 def failing(df):
@@ -109,3 +112,29 @@ def test_capped_duration_is_held_against_the_dimension(spark):
     whole = star(spark, [event()]).write(shared_folder(spark, "star"))
     whole.dim_episodes = whole.dim_episodes.withColumn("duration_seconds", F.lit(10))
     assert failing(quality.check_capped_le_length(whole)) == {("capped_le_length", "fct_listening_events"): 1}
+
+
+def test_checks_on_rows_are_counted_while_writing(spark):
+    log = [event(), event(), event("pause", seconds=5), event(user=None), event("skip", "bob"), event("skip", "bob", "e9")]
+    nobody, nothing = (None, "2024-01-01", "DE"), (None, "p1", "None", "2024-03-01", 600)
+    everything = inputs(spark, log, users=[ANN, nobody], episodes=[SHORT, nothing])
+    folder = shared_folder(spark, "star")
+    stored = Star(everything).write(folder)
+    scanned = {(r["check"], r["target"]): r["failing_rows"] for r in quality.check_report(stored).collect()}
+    recorded = failing(quality.recorded_report(stored))
+    assert recorded == {name: n for name, n in scanned.items() if n and name in quality.RECORDED}
+    assert recorded["capped_null_rule", "fct_listening_events"] == 1
+    assert recorded["accepted_values", "fct_listening_events.event_type"] == 2
+    # Loads add to the counts; days that are measured again do not count twice.
+    shorter = ("e1", "p1", "One", "2024-03-01", 300)
+    more = inputs(spark, [event("skip", "bob", "e9", at="2024-05-01")], users=[ANN], episodes=[shorter])
+    load_increment(more, folder)
+    again = failing(quality.recorded_report(StoredStar(folder, more)))
+    assert again == {("capped_null_rule", "fct_listening_events"): 1, ("accepted_values", "fct_listening_events.event_type"): 3}
+
+
+def test_a_file_that_is_gone_fails_the_reconciliation(spark):
+    stored = star(spark, [event(), event(user=None)]).write(shared_folder(spark, "star"))
+    assert failing(quality.recorded_report(stored)) == {}
+    stored.rows_now = lambda: (1, 0)
+    assert failing(quality.recorded_report(stored)) == {("reconciliation", "stg_event_logs"): 1}

@@ -82,6 +82,28 @@ def test_region_rollup(spark):
     )
 
 
+def test_the_version_in_force(spark):
+    versions = spark.createDataFrame(
+        [
+            ("a", "DE", "2024-01-01", "2024-01-10"),
+            ("a", "IE", "2024-01-10", None),
+            ("b", None, "2024-01-05", "2024-01-07"),
+            (None, "XX", "2024-01-01", None),
+        ],
+        "user_id string, country string, valid_from string, valid_to string",
+    ).withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+    days = ["2023-12-31", "2024-01-01", "2024-01-09", "2024-01-10", "2024-06-01", None]
+    events = spark.createDataFrame([(u, d, i) for u in ("a", "b", "c", None) for i, d in enumerate(days)] * 2, "user_id string, day string, n int")
+    events = events.withColumn("day", F.col("day").cast("date"))
+    want = [None, "DE", "DE", "IE", "IE", None]
+    # Broadcast, and shuffled with hot keys cut into pieces.
+    for limit in (1 << 20, 0):
+        found = history.in_force(events, versions, "user_id", "day", ["country"], ["n"], limit)
+        assert found.columns == ["user_id", "day", "n", "country"] and found.count() == 48
+        assert rows(found.where("user_id = 'a'"), "n", "country") == sorted(list(enumerate(want)) * 2, key=repr)
+        assert found.where("user_id <> 'a' OR user_id IS NULL").where("country IS NOT NULL").isEmpty()
+
+
 def test_drift(spark):
     def day(number, good, bad):
         at = f"2024-03-{number:02d}T00:00:00"

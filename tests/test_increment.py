@@ -3,13 +3,17 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from earshot import Inputs, Star
 from earshot.plans import analyses, monitoring, quality
-from earshot.plans.star import StoredStar, write_events
+from earshot.plans import star as star_module
+from earshot.operators.versions import read_state
+from earshot.plans.star import DAILY, StoredStar, write_events
 from earshot.session import shared_folder
-from earshot.streaming.increment import _within, load_increment, refresh_tables, stream_increments
+from earshot.streaming import increment
+from earshot.streaming.increment import _within, compact, load_increment, lost_events, refresh_tables, stream_increments
 from tests.frames import LONG, MEDIUM, SHORT, event, inputs, plan_of, rows, star
 
 EARLY = [event(), event(), event(user=None), event(kind=None, at=None, seconds=None)]
@@ -37,7 +41,7 @@ def test_overlapping_loads_and_reruns(spark):
 def test_a_load_that_wrote_only_some_rows_is_repaired(spark):
     folder = shared_folder(spark, "inc")
     everything = inputs(spark, EARLY + LATE)
-    write_events(star(spark, EARLY + LATE).classified.where("user_id = 'ann' AND NOT is_rejected"), folder)
+    write_events(star(spark, EARLY + LATE).counted.where("user_id = 'ann' AND NOT is_rejected"), folder, 1)
     load_increment(everything, folder)
     assert ids(folder, everything) == expected(spark)
 
@@ -96,20 +100,128 @@ def test_events_follow_an_episode_that_arrives_or_changes(spark):
         assert stored.stale_days().isEmpty()
 
 
-def test_a_stale_table_fails_its_check(spark):
+def derived_failures(stored):
+    return {r["target"]: r["failing_rows"] for r in quality.check_derived_tables(stored).collect()}
+
+
+def test_derived_tables_follow_a_load_without_being_written(spark):
     folder = shared_folder(spark, "inc")
-    load_increment(inputs(spark, EARLY), folder)
+    star(spark, EARLY).write(folder)
     everything = inputs(spark, EARLY + LATE)
-    load_increment(everything, folder, refresh=False)
+    assert StoredStar(folder, everything).is_written(DAILY)
+    load_increment(everything, folder)
+    for written in (False, True):
+        stored = StoredStar(folder, everything)
+        assert stored.is_written(DAILY) == written
+        assert set(derived_failures(stored).values()) == {0}
+        assert ("user_episode_day" in "".join(stored.daily_activity.inputFiles())) != written
+        refresh_tables(everything, folder)
 
-    def failing():
-        report = quality.check_derived_tables(StoredStar(folder, everything))
-        return {r["target"]: r["failing_rows"] for r in report.collect()}
 
+def test_a_derived_table_that_is_wrong_fails_its_check(spark):
+    folder = shared_folder(spark, "inc")
+    everything = inputs(spark, EARLY + LATE)
+    stored = Star(everything).write(folder)
+    few = star(spark, EARLY).write(shared_folder(spark, "few"))
+    stored.daily_activity, stored.engagement = few.daily_activity, few.engagement
     # Two late listens of one user, on a day that had one and on a new day.
-    assert failing() == {"int_user_daily_activity": 2, "mart_user_engagement": 1}
-    refresh_tables(everything, folder)
-    assert failing() == {"int_user_daily_activity": 0, "mart_user_engagement": 0}
+    assert derived_failures(stored) == {"int_user_daily_activity": 2, "mart_user_engagement": 1}
+
+
+TABLES = ("dim_users", "dim_episodes", "events", "classified", "daily_activity", "engagement")
+WRITES = ("write_events", "roll_up", "same_rows", "publish")
+
+
+@pytest.mark.parametrize("dies_in", WRITES)
+def test_a_load_that_dies_shows_nothing_and_a_reader_keeps_its_state(spark, monkeypatch, dies_in):
+    """Stopped before any one of its writes, or before the last step, a load leaves a whole old star."""
+    folder = shared_folder(spark, "inc")
+    shorter = ("e1", "p9", "One", "2024-03-06", 200)
+    first, second = inputs(spark, EARLY), inputs(spark, EARLY + LATE, episodes=(shorter, LONG))
+    load_increment(first, folder)
+    reader = StoredStar(folder, first)
+
+    def die(*_args, **_options):
+        raise RuntimeError("the machine is gone")
+
+    modules = {"write_events": star_module, "roll_up": star_module.rollup, "same_rows": star_module, "publish": increment}
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(modules[dies_in], dies_in, die)
+        load_increment(second, folder)
+    for seen in (reader, StoredStar(folder, second)):
+        for table in TABLES:
+            assert table_rows(seen, table) == table_rows(Star(first), table)
+    load_increment(second, folder)
+    for table in TABLES:
+        assert table_rows(StoredStar(folder, second), table) == table_rows(Star(second), table)
+    assert read_state(spark, folder).version == 2
+    # Who began to read before still reads what was there then.
+    for table in TABLES:
+        assert table_rows(reader, table) == table_rows(Star(first), table)
+
+
+def test_a_compacted_star_is_the_same(spark):
+    folder = shared_folder(spark, "inc")
+    everything = inputs(spark, EARLY + LATE)
+    for batch in (inputs(spark, EARLY), inputs(spark, LATE[:1]), everything):
+        load_increment(batch, folder)
+    before = StoredStar(folder, everything).state
+    state = compact(everything, folder)
+    stored = StoredStar(folder, everything)
+    assert (state.first, state.version, state.days) == (4, 4, {}) and state.totals == before.totals
+    files = [r[0] for r in stored.events.select(F.input_file_name()).distinct().collect()]
+    assert files and all("/load=4/" in f for f in files)
+    load_increment(inputs(spark, [event(user="cy", at="2024-03-05")]), folder)
+    whole = Star(inputs(spark, EARLY + LATE + [event(user="cy", at="2024-03-05")]))
+    for table in TABLES:
+        assert table_rows(StoredStar(folder, everything), table) == table_rows(whole, table)
+
+
+def test_lost_events_are_found(spark):
+    folder = shared_folder(spark, "inc")
+    load_increment(inputs(spark, EARLY + LATE[:2]), folder)
+    everything = inputs(spark, EARLY + LATE)
+    assert lost_events(everything, folder).count() == 1
+    load_increment(everything, folder)
+    assert lost_events(everything, folder).isEmpty()
+
+
+def rows_read(spark, action):
+    """Rows that Spark's scans have read while `action` ran."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+
+    def total():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        gateway = spark.sparkContext._gateway
+        store = spark.sparkContext._jsc.sc().statusStore()
+        quantiles = gateway.new_array(gateway.jvm.double, 0)
+        stages = store.stageList(None, False, False, quantiles, gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    action()
+    return total() - before
+
+
+def test_a_load_reads_in_proportion_to_its_batch(spark):
+    """The same batch is loaded into a small star and into one with ten times the days."""
+
+    def log(days):
+        return [event(user=f"u{i % 9}", at=f"2023-{1 + d // 28:02d}-{1 + d % 28:02d}T10:{i:02d}:00") for d in range(days) for i in range(50)]
+
+    batch = [event(user="bob", at=f"2023-01-02T11:{i:02d}:00") for i in range(40)]
+    read = []
+    for days in (20, 200):
+        folder, source = shared_folder(spark, "inc"), shared_folder(spark, "source")
+        load_increment(inputs(spark, log(days)), folder)
+        inputs(spark, batch).event_logs.write.parquet(source)
+        added = Inputs(*[getattr(inputs(spark, []), n) for n in ("users", "episodes")], spark.read.parquet(source))
+        read.append(rows_read(spark, lambda: load_increment(added, folder)))
+        stored = StoredStar(folder, added)
+        assert stored.events.count() == 50 * days + 40
+        assert set(derived_failures(stored).values()) == {0}
+    # The days of the batch hold 50 events; the small star has 1,000, the large one 10,000.
+    assert max(read) < 500
 
 
 def test_a_stored_star_reports_from_its_events(spark):
