@@ -7,20 +7,33 @@ import hashlib
 import io
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
+from urllib.parse import quote
 
-import pyarrow as pa
+import numpy as np
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from earshot.llm.common import map_arrow, slices, stored
+from earshot.llm.common import by_unit, map_arrow, runs, slices, stored
+from earshot.session import shared_folder
 
 #: Fixed values of the ZIP format: signatures and layouts.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = (b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07")
 LOCAL_REST, CENTRAL_REST, END_REST, END64_REST, LOCATOR64_REST = ("<5H3I2H", "<6H3I5H2I", "<4H2IH", "<Q2H2I4Q", "<IQI")
 FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
+
+#: A record as it is read back.
+RECORD = (
+    "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+    "payload binary"
+)
+
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.cdxj"
 
 
@@ -107,33 +120,44 @@ class Zip:
         return local + 30 + names + extras, size
 
 
-def zip_package(members: list[tuple[str, bytes]], wide: bool = False) -> bytes:
-    """A package of stored members; `wide`: with ZIP64 fields and records, as large ones need."""
-    out, listed = bytearray(), bytearray()
-    for name, content in members:
-        raw, at, check = name.encode(), len(out), zlib.crc32(content)
-        big = wide or len(content) >= FULL32 or at >= FULL32
-        short = FULL32 if big else len(content)
-        version = 45 if big else 20
-        extra = struct.pack("<2H2Q", 1, 16, len(content), len(content)) if big else b""
-        out += LOCAL + struct.pack(LOCAL_REST, version, 1 << 11, 0, 0, 33, check, short, short, len(raw), len(extra))
-        out += raw + extra + content
-        extra = struct.pack("<2H3Q", 1, 24, len(content), len(content), at) if big else b""
+def local_header(name: str, size: int, check: int, wide: bool) -> bytes:
+    """What stands before a stored member."""
+    raw, short = name.encode(), FULL32 if wide else size
+    extra = struct.pack("<2H2Q", 1, 16, size, size) if wide else b""
+    fixed = struct.pack(LOCAL_REST, 45 if wide else 20, 1 << 11, 0, 0, 33, check, short, short, len(raw), len(extra))
+    return LOCAL + fixed + raw + extra
+
+
+def directory(members: list[tuple[str, int, int, int, bool]], place: int, wide: bool) -> bytes:
+    """What stands at the end of a package, from `place` on, for members (name, size, crc32, place, wide)."""
+    listed = bytearray()
+    for name, size, check, at, big in members:
+        raw, short, version = name.encode(), FULL32 if big else size, 45 if big else 20
+        extra = struct.pack("<2H3Q", 1, 24, size, size, at) if big else b""
         listed += CENTRAL + struct.pack(
             CENTRAL_REST, version, version, 1 << 11, 0, 0, 33, check, short, short, len(raw), len(extra), 0, 0, 0, 0,
             FULL32 if big else at,
         )
         listed += raw + extra
-    place, n = len(out), len(members)
-    out += listed
-    if wide or place >= FULL32 or n >= FULL16:
-        record = len(out)
-        out += END64 + struct.pack(END64_REST, 44, 45, 45, 0, 0, n, n, len(listed), place)
-        out += LOCATOR64 + struct.pack(LOCATOR64_REST, 0, record, 1)
-        out += END + struct.pack(END_REST, FULL16, FULL16, FULL16, FULL16, FULL32, FULL32, 0)
+    n, record = len(members), place + len(listed)
+    if wide or record >= FULL32 or n >= FULL16:
+        end = END64 + struct.pack(END64_REST, 44, 45, 45, 0, 0, n, n, len(listed), place)
+        end += LOCATOR64 + struct.pack(LOCATOR64_REST, 0, record, 1)
+        end += END + struct.pack(END_REST, FULL16, FULL16, FULL16, FULL16, FULL32, FULL32, 0)
     else:
-        out += END + struct.pack(END_REST, 0, 0, n, n, len(listed), place, 0)
-    return bytes(out)
+        end = END + struct.pack(END_REST, 0, 0, n, n, len(listed), place, 0)
+    return bytes(listed) + end
+
+
+def zip_package(members: list[tuple[str, bytes]], wide: bool = False) -> bytes:
+    """A package of stored members; `wide`: with ZIP64 fields and records, as large ones need."""
+    out, listed = bytearray(), []
+    for name, content in members:
+        at, check = len(out), zlib.crc32(content)
+        big = wide or len(content) >= FULL32 or at >= FULL32
+        out += local_header(name, len(content), check, big) + content
+        listed.append((name, len(content), check, at, big))
+    return bytes(out + directory(listed, len(out), wide))
 
 
 def _header(first: str, fields: list[tuple[str, object]]) -> bytes:
@@ -146,6 +170,11 @@ def _one_line(text: str) -> str:
     return text.replace("\r", "%0D").replace("\n", "%0A")
 
 
+def _index_url(url: str | None) -> str:
+    """A url as one word of an index line: blanks, controls and line ends of any kind are percent-encoded."""
+    return "".join(c if c.isprintable() and not c.isspace() else quote(c, errors="replace") for c in url or "-") or "-"
+
+
 def record_id(page_id: int) -> str:
     return f"<urn:page:{page_id}>"
 
@@ -213,21 +242,32 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.select("page_id", "url", "html", F.when(first, None).otherwise(F.col("_kept")).alias("refers_to"))
 
 
-def write_archives(records: DataFrame, archive_bytes: int = 8 << 20, wide: bool = False) -> DataFrame:
-    """(path, content): ZIP packages of about `archive_bytes`, each with a WARC member and its index.
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or uri (file:, hdfs:, s3: and what else pyarrow knows), and the path in it."""
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace(":/", ":///", 1))
 
-    `records` are rows as `plan_records` gives them. A task packs the rows it holds, a package at a time.
+
+def write_archives(records: DataFrame, folder: str, archive_bytes: int = 8 << 20, wide_percent: int = 25) -> DataFrame:
+    """Write ZIP packages of about `archive_bytes` to `folder`, each with a WARC member and its index, and return
+    their `path` and `records`. The files are written when the result is.
+
+    `records` are rows as `plan_records` gives them. A task packs the rows it holds, a package at a time, and
+    names it after its content, so a task that is run again writes the same files. `wide_percent` of the packages
+    have ZIP64 fields and records, which all that are large enough to need them have.
     """
 
     def package(records: list[bytes], pages: list) -> bytes:
         index, at = [], 0
         for raw, (page_id, url, digest, kind) in zip(records, pages):
             entry = {"offset": at, "length": len(raw), "digest": f"sha1:{digest}", "type": kind, "page": page_id}
-            index.append(f"{_one_line(url or '-')} 19700101000000 {json.dumps(entry)}\n")
+            index.append(f"{_index_url(url)} 19700101000000 {json.dumps(entry)}\n")
             at += len(raw)
-        return zip_package([(WARC_MEMBER, b"".join(records)), (INDEX_MEMBER, "".join(index).encode())], wide)
+        members = [(WARC_MEMBER, b"".join(records)), (INDEX_MEMBER, "".join(index).encode())]
+        return zip_package(members, zlib.crc32(members[1][1]) % 100 < wide_percent)
 
     def run(batches):
+        store, place = _store(folder)
+        store.create_dir(place, recursive=True)
         for batch in slices(batches, "html", archive_bytes):
             records, pages = [], []
             for row in batch.to_pylist():
@@ -237,47 +277,95 @@ def write_archives(records: DataFrame, archive_bytes: int = 8 << 20, wide: bool
                 kind = "response" if row["refers_to"] is None else "revisit"
                 pages.append((row["page_id"], row["url"], digest, kind))
             content = package(records, pages)
-            yield [f"{hashlib.sha1(content).hexdigest()}.wacz"], [content]
+            name = f"{hashlib.sha1(content).hexdigest()}.wacz"
+            draft = f"{place}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(draft) as out:
+                out.write(content)
+            store.move(draft, f"{place}/{name}")
+            yield [f"{folder}/{name}"], [len(records)]
 
-    return map_arrow(records, run, "path string, content binary")
+    return map_arrow(records, run, "path string, records long")
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
-    """A row per record of ZIP packages (path, content), as `spark.read.format("binaryFile")` gives them.
+def _index_lines(package: Zip, piece: int = 1 << 20) -> Iterator[str]:
+    """The lines of a package's index, read a piece at a time. Only a line feed ends a line."""
+    start, size = package.place(INDEX_MEMBER)
+    rest = b""
+    for at in range(0, size, piece):
+        *lines, rest = (rest + package.read(start + at, min(piece, size - at))).split(b"\n")
+        yield from (line.decode("utf-8") for line in lines)
+    if rest:
+        yield rest.decode("utf-8")
 
-    The package's directory leads to the index, the index to each record's range; nothing is extracted.
-    Records whose payload does not match their digest end the run with an error.
-    """
+
+def list_records(archives: DataFrame) -> DataFrame:
+    """(path, number, start, length) of every record of the packages at `path`: the tail of each file leads to the
+    directory, the directory to the index, and the index to the ranges. Nothing else is read."""
 
     def run(batches):
-        names = [f.name for f in fields]
         for batch in batches:
-            for content in batch.column("content"):
-                package = Zip(pa.BufferReader(content.as_buffer()))
-                start, _ = package.place(WARC_MEMBER)
-                index = package.read(*package.place(INDEX_MEMBER)).decode("utf-8")
-                rows, held = [], 0
-                for line in index.splitlines():
-                    entry = json.loads(line[line.index(" {") + 1 :])
-                    rows.append(read_record(package, start, entry))
-                    held += rows[-1]["payload_bytes"]
-                    if held > 8 << 20:
+            for path in batch.column("path").to_pylist():
+                store, place = _store(path)
+                with store.open_input_file(place) as file:
+                    package = Zip(file)
+                    start, size = package.place(WARC_MEMBER)
+                    starts, lengths, first = [], [], 0
+                    for line in _index_lines(package):
+                        entry = json.loads(line.split(" ", 2)[2])
+                        if entry["offset"] < 0 or entry["offset"] + entry["length"] > size:
+                            raise ValueError(f"{path}: an entry of the index lies outside its member")
+                        starts.append(start + entry["offset"])
+                        lengths.append(entry["length"])
+                        if len(starts) == 10_000:
+                            yield [path] * len(starts), np.arange(first, first + len(starts)), starts, lengths
+                            starts, lengths, first = [], [], first + len(starts)
+                    yield [path] * len(starts), np.arange(first, first + len(starts)), starts, lengths
+
+    return map_arrow(archives.select("path"), run, "path string, number long, start long, length long")
+
+
+def read_archives(archives: DataFrame, together: int = 256, piece: int = 8 << 20) -> DataFrame:
+    """A row per record of the ZIP packages at `path`, whatever their size; nothing is extracted.
+
+    Records are listed first (`list_records`); their ranges, `together` of one package at a time, are dealt out to
+    all tasks, which open the file, go to the ranges and read them, adjacent ones at once up to
+    `piece` bytes. Records whose payload does not match their digest end the run with an error.
+    """
+    listed = list_records(archives)
+    unit = F.xxhash64("path", F.floor(F.col("number") / together))
+    dealt = by_unit(listed.withColumn("unit", unit), "unit", "path", "start")
+    names = [f.name for f in T.StructType.fromDDL(RECORD).fields]
+
+    def run(batches):
+        for table in runs(batches, "unit"):
+            for path in table.column("path").unique().to_pylist():
+                own = table.filter(pc.equal(table.column("path"), path))
+                store, place = _store(path)
+                with store.open_input_file(place) as file:
+                    spans = zip(own.column("start").to_pylist(), own.column("length").to_pylist())
+                    for raw in _ranges(file, list(spans), piece):
+                        rows = [read_record(r) for r in raw]
                         yield [[r[n] for r in rows] for n in names]
-                        rows, held = [], 0
-                yield [[r[n] for r in rows] for n in names]
 
-    schema = (
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-        "refers_to long, payload binary"
-    )
-    from pyspark.sql.types import StructType
+    return map_arrow(dealt, run, RECORD)
+
 
-    fields = StructType.fromDDL(schema)
-    return map_arrow(archives.select("content"), run, schema)
+def _ranges(file, spans: list[tuple[int, int]], piece: int) -> Iterator[list[bytes]]:
+    """The bytes of (start, length) spans in rising order, as many as are read at once in a list."""
+    at = 0
+    while at < len(spans):
+        stop, end = at + 1, spans[at][0] + spans[at][1]
+        while stop < len(spans) and spans[stop][0] == end and end + spans[stop][1] - spans[at][0] <= piece:
+            end += spans[stop][1]
+            stop += 1
+        file.seek(spans[at][0])
+        raw = file.read(end - spans[at][0])
+        yield [raw[s - spans[at][0] : s - spans[at][0] + n] for s, n in spans[at:stop]]
+        at = stop
 
 
-def read_record(package: Zip, start: int, entry: dict) -> dict:
-    record = parse_record(package.read(start + entry["offset"], entry["length"]))
+def read_record(raw: bytes) -> dict:
+    record = parse_record(raw)
     fields, payload = record["fields"], record["payload"]
     digest = fields["warc-payload-digest"].removeprefix("sha1:")
     kind = fields["warc-type"]
@@ -302,8 +390,9 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = 8
 
     Null html: an empty payload. Null url: no target. Null page_id: its row never is what others refer
     to; a payload only such rows share has responses only. Rows with equal page_id and payload are
-    responses both if that id is the largest. Line breaks in a url are percent-encoded. Empty table: no
-    records. Other columns are ignored.
+    responses both if that id is the largest. Line breaks in a url are percent-encoded, in the index also blanks
+    and controls. Empty table: no records. Other columns are ignored.
     """
-    records = plan_records(pages, least_bytes)
-    return read_archives(stored(write_archives(records, archive_bytes), "archives"))
+    spark = pages.sparkSession
+    written = write_archives(plan_records(pages, least_bytes), shared_folder(spark, "archives"), archive_bytes)
+    return read_archives(stored(written, "archive-names"))
