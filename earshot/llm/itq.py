@@ -69,9 +69,17 @@ def simulated_pairs(
     return one, least * one + math.sqrt(max(0.0, 1 - least**2)) * away, like_data[good]
 
 
+def random_code(sample: np.ndarray, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(projection, thresholds) like `learn`, by random orthogonal directions that nothing is fitted to."""
+    random, width = np.random.default_rng(seed), sample.shape[1]
+    turns = [np.linalg.qr(random.standard_normal((width, width)))[0] for _ in range(-(-bits // width))]
+    projection = np.concatenate(turns, axis=1)[:, :bits]
+    return projection, np.median(sample @ projection, axis=0) if len(sample) else np.zeros(bits)
+
+
 def layout(
     sample: np.ndarray, n: int, least: float, recall: float, bits: int, tables: int, bucket_rows: int,
-    size: int | None = None, seed: int = 0,
+    size: int | None = None, seed: int = 0, most_tables: int = 96,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(projection, thresholds, which bits each table looks at) for `n` vectors.
 
@@ -79,6 +87,11 @@ def layout(
     learnt for them, until they meet `recall` of either kind of simulated pairs at a cosine of `least`,
     `tables` at least. Those pairs start from a fifth of the sample that codes are not learnt from. `size` is the one with the least work, where none is given: more bits need more tables, as more
     of them differ in a pair, and fewer bits fill the buckets.
+
+    Codes fitted to vectors of few dimensions are alike. Where one more code met less than a tenth of the pairs
+    that were left, the next ones are random rotations instead. Where `most_tables` do not meet `recall` (few
+    dimensions, or vectors that nearly all point one way, so that most pairs are near), there is one table that
+    looks at no bit: all vectors are of one bucket, and its blocks are compared, each with each.
     """
     apart = np.arange(len(sample)) % 5 == 4
     one, other, kind = simulated_pairs(sample[apart], least) if apart.any() else (sample[:0], sample[:0], apart[:0])
@@ -94,9 +107,16 @@ def layout(
         size = min(range(1, 31), key=work)
     blocks, met, used = [(projection, thresholds)], np.zeros(len(one), bool), 0
     agree = encode(one, projection, thresholds) == encode(other, projection, thresholds)
+    make, left = learn, 1.0
     while used < tables or any(met[k].mean() < recall for k in (kind, ~kind) if k.any()):
+        if used == most_tables:
+            return np.zeros((sample.shape[1], 0)), np.zeros(0), np.zeros((1, 0), np.int64)
         while agree.shape[1] < (used + 1) * size:
-            blocks.append(learn(sample, bits, seed=seed + len(blocks)))
+            now = 1 - met.mean() if len(met) else 0.0
+            if now > 0.9 * left:
+                make = random_code
+            left = now
+            blocks.append(make(sample, bits, seed=seed + len(blocks)))
             agree = np.concatenate([agree, encode(one, *blocks[-1]) == encode(other, *blocks[-1])], axis=1)
         met |= agree[:, used * size : (used + 1) * size].all(axis=1)
         used += 1
@@ -128,6 +148,7 @@ def near_vectors(
     seed: int = 0,
     recall: float = 0.99,
     size: int | None = None,
+    most_tables: int = 96,
 ) -> DataFrame:
     """A row per row of `vectors` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -136,7 +157,9 @@ def near_vectors(
     sample that depends on the rows only); every row is indexed. Tables look at substrings of `size` bits,
     or as many as make the least work for the number of rows, about `bucket_rows` to a bucket. Each table has
     bits of its own, and there are as many tables, `tables` at least, as meet the share `recall` of simulated
-    pairs at a cosine of exactly `least`, whatever the number of rows. Pairs that agree in any substring are
+    pairs at a cosine of exactly `least`, whatever the number of rows; where `most_tables` are not enough, all
+    vectors are compared block by block, which finds every link at a cost that grows with the square of their
+    number (see `layout`). Pairs that agree in any substring are
     reranked with the original vectors, each in the first table it agrees in. Pairs of a higher cosine are
     met with a higher probability (recall is measured in tests/llm).
 
@@ -165,7 +188,7 @@ def near_vectors(
     share = min(1.0, sample_rows / n)
     drawn = distinct.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 32)) < int(share * (1 << 32)))
     sample, good = unit_rows(drawn.select("embedding").toArrow().column("embedding").to_pylist(), width)
-    projection, thresholds, chosen = layout(sample[good], n, least, recall, bits, tables, bucket_rows, size, seed)
+    projection, thresholds, chosen = layout(sample[good], n, least, recall, bits, tables, bucket_rows, size, seed, most_tables)
 
     def index(batches):
         for batch in batches:

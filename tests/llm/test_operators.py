@@ -1,6 +1,7 @@
 """Operators against plain versions and on awkward tables."""
 
 import hashlib
+import json
 import math
 import zlib
 
@@ -251,13 +252,78 @@ def test_pages_come_back_from_archives(spark):
         assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("kind", ["width 1", "width 2", "width 4", "offset", "clusters", "one way"])
+def test_near_vectors_ends_and_finds_the_links_of_awkward_vectors(spark, kind):
+    random = np.random.default_rng(5)
+    width = {"width 1": 1, "width 2": 2, "width 4": 4, "clusters": 4}.get(kind, 64)
+    vectors = random.standard_normal((700, width))
+    if kind == "offset":
+        vectors += 5
+    elif kind == "clusters":
+        vectors = vectors[random.integers(0, 9, len(vectors))] + 0.02 * vectors
+    elif kind == "one way":
+        vectors = np.abs(vectors[:, :1]) * np.ones((1, width)) + 1e-9 * vectors
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    wanted = near.sum(axis=1) - 1
+    got = {r.vec_id: r for r in itq.near_vectors(frame, block=256).collect()}
+    found = np.array([got[i].n_links for i in range(len(vectors))])
+    assert (found <= wanted).all() and found.sum() >= 0.9 * wanted.sum()
+    links = [(a, b) for a, b in zip(*np.nonzero(near)) if a < b]
+    if found.sum() == wanted.sum():
+        assert {i: r.component_id for i, r in got.items()} == brute.roots(range(len(vectors)), links)
+
+
+def payloads(spark, paths):
+    back = warc.read_archives(spark.createDataFrame([(p,) for p in paths], "path string"), together=3, piece=2000)
+    return sorted(((r.page_id, bytes(r.payload)) for r in back.where("record_type = 'response'").collect()), key=repr)
+
+
 def test_archives_are_read_from_files(spark, tmp_path):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet").limit(20)
-    for i, row in enumerate(warc.write_archives(warc.plan_records(pages), 20_000, wide=True).collect()):
-        (tmp_path / f"{i}.wacz").write_bytes(row["content"])
-    back = warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path)))
-    want = {(r.page_id, (r.html or "").encode()) for r in pages.collect()}
-    assert {(r.page_id, bytes(r.payload)) for r in back.collect()} == want
+    want = sorted({(r.page_id, (r.html or "").encode()) for r in pages.collect()}, key=repr)
+    for wide in (0, 100):
+        folder = f"file://{tmp_path}/{wide}"
+        written = warc.write_archives(warc.plan_records(pages), folder, 20_000, wide).collect()
+        again = warc.write_archives(warc.plan_records(pages), folder, 20_000, wide).collect()
+        assert written == again and len(written) > 1 and sum(r.records for r in written) == 20
+        assert payloads(spark, [r.path for r in written]) == want
+        (first, *_) = [(tmp_path / str(wide) / r.path.rsplit("/", 1)[1]).read_bytes() for r in written]
+        assert (warc.END64 in first) == (wide == 100)
+
+
+ODD_URLS = ["http://x/\u2028a\u000bb {c", " {", "", "\n\r\x85\x1c", "http://x/%7B {\"offset\": 3}", None, "\u00a0é 🙂"]
+
+
+def test_no_url_ends_the_run(spark):
+    rows = [(i, url, f"page {i}") for i, url in enumerate(ODD_URLS)]
+    back = warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in back) == [(i, html) for i, _, html in rows]
+    assert {r.page_id: r.url for r in back}[0] == ODD_URLS[0]
+
+
+def test_a_package_above_four_gib_is_read_by_ranges(spark, tmp_path):
+    """A sparse file: the second record, the index and the directory lie beyond what 32 bits can say."""
+    far = (1 << 32) + 12_345
+    records = [warc.warc_record(i, "http://x/", t, warc.sha1_base32(t), None) for i, t in enumerate((b"near", b"far"))]
+    size = far + len(records[1])
+    index = "".join(
+        f"x 19700101000000 {json.dumps({'offset': at, 'length': len(r)})}\n" for at, r in zip((0, far), records)
+    ).encode()
+    with open(tmp_path / "large.wacz", "wb") as out:
+        head = warc.local_header(warc.WARC_MEMBER, size, 0, True)
+        out.write(head + records[0])
+        out.seek(len(head) + far)
+        out.write(records[1])
+        at = out.tell()
+        out.write(warc.local_header(warc.INDEX_MEMBER, len(index), zlib.crc32(index), True) + index)
+        members = [(warc.WARC_MEMBER, size, 0, 0, True), (warc.INDEX_MEMBER, len(index), zlib.crc32(index), at, True)]
+        out.write(warc.directory(members, out.tell(), False))
+    assert payloads(spark, [str(tmp_path / "large.wacz")]) == [(0, b"near"), (1, b"far")]
+    (tmp_path / "cut.wacz").write_bytes(warc.zip_package([(warc.WARC_MEMBER, records[0]), (warc.INDEX_MEMBER, index)]))
+    with pytest.raises(Exception, match="outside its member"):
+        payloads(spark, [str(tmp_path / "cut.wacz")])
 
 
 def test_document_classes_equal_all_pairs(spark, odd):
