@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from earshot.operators.lookup import BROADCAST_LIMIT, measured_bytes
 from earshot.session import shared_folder
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -31,6 +32,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """A written table, marked for broadcast if its measured size is within `limit`."""
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` whose `key` is not among `ids`; null keys stay. The ids are written and measured
+    first: while they are few, `docs` is not shuffled to drop them."""
+    return docs.join(small(stored(ids.select(key).distinct(), "dropped")), key, "left_anti")
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
     """`mapInArrow` whose function yields (column, ...) tuples of arrays in the order of `schema`."""
     importable(df.sparkSession)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import map_arrow, slices, stored
+from earshot.llm.common import map_arrow, slices, stored, without
 
 #: Characters an n-gram has; four of 16 bits fill the key.
 ORDER = 4
@@ -282,6 +282,7 @@ def identify(docs: DataFrame, models: Models | None = None, strictness: float =
         "doc_id long, lang string, lang_pred string, score double, bits_per_char double, n_letters long",
     )
     scored = stored(scored.withColumn("fold", fold(F.col("doc_id"))), "languages")
+    shared.unpersist()
     sure = scored.where((F.col("fold") == 3) & (F.col("lang") == F.col("lang_pred")))
     bits, mean, letters = F.col("bits_per_char"), F.col("_mean"), F.least("n_letters", F.lit(400))
     sums = sure.groupBy(F.col("lang").alias("_lang")).agg(
@@ -312,5 +313,4 @@ def identify(docs: DataFrame, models: Models | None = None, strictness: float =
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose language is not rejected. Rows of one doc_id go together; those without
     an id stay."""
-    gone = identify(docs).where("rejected").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return without(docs, identify(docs).where("rejected"), "doc_id")

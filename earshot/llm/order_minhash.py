@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import by_unit, components, cross_blocks, map_arrow, runs, slices, stored
+from earshot.llm.common import by_unit, components, cross_blocks, map_arrow, runs, slices, stored, without
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -340,5 +340,4 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
     Rows with a null doc_id stay; of equal rows with one doc_id all stay.
     """
-    gone = duplicate_classes(docs, **options).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return without(docs, duplicate_classes(docs, **options).where(~F.col("kept")), "doc_id")
