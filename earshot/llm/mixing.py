@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import stored
+from earshot.llm.common import small, stored
 
 #: Exponents tried in one pass over the sources: as many as four halvings of the interval.
 TRIED = 16
@@ -85,8 +85,9 @@ def mix(
 
     Each epoch of a source is a permutation of its blocks, which are about `block_docs` documents dealt
     by hash: whole blocks while the budget lasts, and of the block in which it ends, documents in hash
-    order as long as the budget is not yet used up when their turn comes. So only one block of a source
-    and epoch is ordered by document, and a source that holds a third of all rows is spread over all tasks.
+    order as long as the budget is not yet used up when their turn comes. So only the last block of a source
+    is ordered by document and shuffled with its texts (all are if the list of blocks is too large to be broadcast),
+    and a source that holds a third of all rows is spread over all tasks.
 
     The order depends on `seed`, doc_id and text only, not on partitions. Null source: a source of its
     own. Null or empty text: a document of one token. Null doc_id and repeated rows: documents of their
@@ -150,16 +151,19 @@ def mix(
         "_in_block",
         "_q",
     )
-    blocks = stored(blocks.where(F.col("_before") < F.col("_q")), "blocks")
+    blocks = small(stored(blocks.where(F.col("_before") < F.col("_q")), "blocks"))
     chosen = drawn.join(
         blocks,
         F.col("source").eqNullSafe(F.col("_s")) & (F.col("epoch") == F.col("_e")) & (F.col("block") == F.col("_b")),
     )
+    # In a block that is read whole, a document stands where its hash lies among all hashes, so texts are
+    # not moved to be ordered. Only the block in which a source's budget ends is summed document by document.
+    is_whole = F.col("_before") + F.col("_in_block") <= F.col("_q")
+    share = F.col("_order") / F.lit(2.0**64) + 0.5
+    whole = chosen.where(is_whole).withColumn("_at", F.col("_before") + share * F.col("_in_block"))
     within = Window.partitionBy("_s", "_e", "_b").orderBy("_order", "doc_id")
-    placed = chosen.withColumn(
-        "_at",
-        F.col("_before") + F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"),
-    )
-    return placed.where(F.col("_at") < F.col("_q")).select(
+    summed = F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens")
+    cut = chosen.where(~is_whole).withColumn("_at", (F.col("_before") + summed).cast("double"))
+    return whole.union(cut.where(F.col("_at") < F.col("_q"))).select(
         *names, "tokens", "weight", "epoch", "block", (F.col("_at") / F.col("_q")).alias("place")
     )
