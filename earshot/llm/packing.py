@@ -21,6 +21,9 @@ from earshot.llm.common import map_arrow, slices, stored
 #: Parts of a token that a queue's quantum is counted in, and quanta's largest sum.
 GRAIN = 1 << 16
 
+#: Rounds times queues that a task works out at a time.
+HELD = 1 << 18
+
 
 @lru_cache(maxsize=2)
 def tokenizer(vocabulary: str):
@@ -79,10 +82,12 @@ def quanta(totals: dict, window: int, weights: dict | None) -> tuple[list, np.nd
     share = length.astype(np.float64) if weights is None else np.array([float(weights.get(q, 0)) for q in queues])
     if len(queues) and share.sum() <= 0:
         share = np.ones(len(queues))
-    # A queue without a weight still drains, a token in 16 rounds.
+    # A queue without a weight still drains, a token in 16 rounds at least.
     quantum = np.maximum(GRAIN // 16, np.round(share / max(share.sum(), 1e-300) * window * GRAIN)).astype(np.int64)
-    if len(queues) and (length / quantum).max() * quantum.max() * GRAIN > 2**62:
-        raise OverflowError("the streams are too long for quanta of this grain")
+    if len(queues):
+        # Rounds times the largest quantum fit into 62 bits: a slow queue of very many tokens is sent faster.
+        top = int(quantum.max())
+        quantum = np.maximum(quantum, [int(n) * GRAIN * top // 2**62 + 1 for n in length])
     return queues, length, quantum
 
 
@@ -101,13 +106,19 @@ def _pieces(start: int, stop: int, queue: int, length, quantum, window: int):
     # The round in which token x is sent: the largest r with floor(r q / GRAIN) <= x.
     if q >= GRAIN:
         first, last = ((x + 1) * GRAIN - 1 for x in (start, stop - 1))
-        rounds = np.arange(first // q, last // q + 1, dtype=np.int64)
+        number, round_of = last // q - first // q + 1, lambda i: first // q + i
     else:  # less than a token a round: only those that send one
-        rounds = ((np.arange(start, stop, dtype=np.int64) + 1) * GRAIN - 1) // q
-    done, then = sent(rounds, length, quantum), sent(rounds + 1, length, quantum)
-    base = done.sum(axis=1) + (then[:, :queue] - done[:, :queue]).sum(axis=1)
-    low, high = np.maximum(done[:, queue], start), np.minimum(then[:, queue], stop)
-    place = base + low - done[:, queue]
+        number, round_of = stop - start, lambda i: ((start + i + 1) * GRAIN - 1) // q
+    parts = []
+    # Rounds by queues are held a slice at a time: a long text of a small queue has very many rounds.
+    step = max(1, HELD // len(length))
+    for at in range(0, number, step):
+        rounds = round_of(np.arange(at, min(at + step, number), dtype=np.int64))
+        done, then = sent(rounds, length, quantum), sent(rounds + 1, length, quantum)
+        base = done.sum(axis=1) + (then[:, :queue] - done[:, :queue]).sum(axis=1)
+        low, high = np.maximum(done[:, queue], start), np.minimum(then[:, queue], stop)
+        parts.append((low, high, base + low - done[:, queue]))
+    low, high, place = (np.concatenate(x) for x in zip(*parts))
     # Join what is adjacent in the merged stream too, then cut at the ends of windows.
     if len(low) > 1:
         new = np.append(True, place[1:] != place[:-1] + (high[:-1] - low[:-1]))
@@ -145,7 +156,8 @@ def pack(
     totals by task and source are joined.
 
     Returns a row per piece: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids
-    (binary, two bytes a token), sequence_length.
+    (binary, two bytes a token), sequence_length, ids_crc32 (a checksum of the ids as unsigned little-endian
+    numbers of four bytes), sequence_padding (see `padding`).
 
     Null or empty text: the end id alone. Null source: a queue of its own. Null and repeated doc_id:
     every row is a document of its own. Empty table: no pieces. Other columns are ignored.
@@ -192,14 +204,16 @@ def pack(
                 sequence,
                 columns[3],
                 texts,
-                np.minimum(window, everything - sequence * window),
+                (held := np.minimum(window, everything - sequence * window)),
+                [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4")) for x in texts],
+                [padding(window, n) for n in held.tolist()],
             )
 
     return map_arrow(
         placed,
         run,
         "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, "
-        "ids binary, sequence_length long",
+        "ids binary, sequence_length long, ids_crc32 long, sequence_padding long",
     )
 
 
@@ -209,23 +223,8 @@ def padding(window: int, sequence_length: int) -> int:
     return 0 if whole else window - sequence_length
 
 
-def pieces_digest(pieces: DataFrame, window: int = 2048) -> DataFrame:
-    """The pieces with a checksum of their ids, as unsigned little-endian numbers of four bytes."""
-
-    def run(batches):
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4")) for x in batch.column("ids").to_pylist()]
-            pads = [padding(window, n) for n in batch.column("sequence_length").to_pylist()]
-            yield (
-                *(batch.column(c) for c in ("doc_id", "start", "length")),
-                sums,
-                *(batch.column(c) for c in ("doc_tokens", "sequence_id", "offset", "source")),
-                pads,
-            )
-
-    return map_arrow(
-        pieces,
-        run,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
-        "source string, sequence_padding long",
+def pieces_digest(pieces: DataFrame) -> DataFrame:
+    """The pieces with the checksum of their ids instead of the ids."""
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "sequence_padding"
     )
