@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import time
 import zlib
 
 import numpy as np
@@ -252,6 +253,21 @@ def test_pages_come_back_from_archives(spark):
         assert got == sorted(want, key=repr)
 
 
+def test_a_conversation_of_a_hundred_thousand_turns(spark):
+    n = 100_000
+    role = F.when(F.col("id") % 5 < 3, "assistant").otherwise("user")
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("é<|"), "id").alias("text"))
+    began = time.time()
+    formatted = chat.format_chats(turns)
+    (row,) = chat.chats_digest(formatted).collect()
+    assert time.time() - began < 60
+    loss = "".join(f"é<|{i}" for i in range(n) if i % 5 < 3)
+    assert (row.n_turns, row.loss_chars, row.loss_sha256) == (n, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    (whole,) = formatted.collect()
+    cut = [whole.formatted[s.start : s.start + s.length] for s in whole.loss_spans]
+    assert cut == [f"é\\1{i}" for i in range(n) if i % 5 < 3]
+
+
 @pytest.mark.parametrize("kind", ["width 1", "width 2", "width 4", "offset", "clusters", "one way"])
 def test_near_vectors_ends_and_finds_the_links_of_awkward_vectors(spark, kind):
     random = np.random.default_rng(5)
