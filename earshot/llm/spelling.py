@@ -167,7 +167,7 @@ def edits(words: list[str], length: int, alphabet: np.ndarray, filters: Filters,
             yield top + int(i[hit]), word[:place] + word[place + 1 :]
 
 
-def near_words(words: DataFrame, shard_words: int = 1 << 17, broadcast_bytes: int = 32 << 20) -> DataFrame:
+def near_words(words: DataFrame, shard_words: int = 1 << 13, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """(word, n, other, n_other): each two of `words` (word, n) that differ by exactly one inserted, deleted
     or replaced code point, once.
 
