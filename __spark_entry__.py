@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from earshot import Inputs, Star  # noqa: E402
-from earshot.plans import analyses, audience, history, monitoring, profile, quality  # noqa: E402
+from earshot.plans import analyses, audience, history, monitoring, profile, quality, rulesets  # noqa: E402
 from earshot.plans.staging import stage_events  # noqa: E402
 from earshot.plans.star import REFRESHED, StoredStar  # noqa: E402
 from earshot.session import shared_folder  # noqa: E402
@@ -112,6 +112,60 @@ def _ltr_by_country_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(analyses.ltr_by_country_as_of(_star(spark, folder), versions), RATE)
 
 
+def _rejection_alarm(spark: SparkSession, folder: str) -> DataFrame:
+    """The days from the middle of the month on, held against those before; every seventh episode is missing
+    from the dimension, which is an error."""
+    inputs = retail.from_retail(spark, folder)
+    star = Star(Inputs(inputs.users, inputs.episodes.where(F.col("episode_id") % 7 != 3), inputs.event_logs))
+    path = shared_folder(spark, "daily")
+    monitoring.daily_rejections(star).write.parquet(path)
+    daily = spark.read.parquet(path)
+    early, middle = (
+        monitoring.rejection_baseline(daily.where(F.col("event_date").between(*days)))
+        for days in (("2024-01-01", "2024-01-09"), ("2024-01-10", "2024-01-17"))
+    )
+    later = daily.where(F.col("event_date") >= "2024-01-18")
+    alarm = monitoring.rejection_alarm(later, monitoring.merge_baselines(early, middle), quality.check_relationships(star))
+    return _rounded(alarm, "rejection_rate", "usual_rate", "change_score")
+
+
+def _listeners_in_windows(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "listeners")
+    audience.listener_sketches(_star(spark, folder)).write.parquet(path)
+    windows = ("2024-01-01", "2024-01-14"), ("2024-01-12", "2024-01-31")
+    return audience.listeners_in_windows(spark.read.parquet(path), *windows)
+
+
+RETENTION_WINDOWS = [(0, 59), (60, 119), (100, 140), (120, 239)]
+
+
+def _retention_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    star, path = _star(spark, folder), shared_folder(spark, "bits")
+    audience.activity_bits(star).write.parquet(path)
+    return audience.retention_by_days(spark.read.parquet(path), star.dim_users, RETENTION_WINDOWS)
+
+
+def _rechecked(spark: SparkSession, folder: str) -> DataFrame:
+    """Events stored under the first rules, judged by the second ones, which have a rule more."""
+    stored = _star(spark, folder).write(shared_folder(spark, "star"))
+    return rulesets.recheck(stored.classified, rulesets.RULESETS["2"], "2")
+
+
+def _recheck_events(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ("is_rejected", "rejection_reason_count", "rejection_reason_summary", "rejection_ruleset_version")
+    return _rechecked(spark, folder).select("event_id", "is_overlong_duration", *columns)
+
+
+def _ruleset_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    return rulesets.coverage(_rechecked(spark, folder), rulesets.RULESETS["2"])
+
+
+def _mart_under_second_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart once events have moved between fact and quarantine."""
+    stored = _star(spark, folder).write(shared_folder(spark, "star"))
+    return _rounded(_timeless(rulesets.apply_ruleset(stored, "2").engagement), RATE)
+
+
 def _loaded_twice(spark: SparkSession, folder: str) -> StoredStar:
     """A first load of the earlier events, when every seventh episode is not known yet, then a second
     one of everything, which repeats them."""
@@ -192,11 +246,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejection_rate_drift": _on_star(
         monitoring.rejection_rate_drift, "rejection_rate", "baseline_rate"
     ),
+    "rejection_alarm": _rejection_alarm,
     "ruleset_version": _on_star(monitoring.ruleset_version),
+    "recheck_events": _recheck_events,
+    "ruleset_coverage": _ruleset_coverage,
+    "mart_under_second_rules": _mart_under_second_rules,
     "dim_podcasts": _on_star(audience.dim_podcasts),
     "new_vs_returning_listeners": _on_star(audience.new_vs_returning_listeners),
     "heavy_user_concentration": _on_star(audience.heavy_user_concentration, "share_of_listens"),
     "cohort_retention": _on_star(audience.cohort_retention, "retention_rate"),
+    "retention_by_days": _retention_by_days,
+    "listeners_in_windows": _listeners_in_windows,
     "dim_users_history": _dim_users_history,
     "ltr_by_country_as_of": _ltr_by_country_as_of,
     "ltr_by_region": lambda spark, folder: _rounded(_ltr_by_region(spark, folder), RATE),

@@ -13,7 +13,6 @@ import os
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,25 +48,27 @@ class State:
         return shown
 
 
+def _pointer(spark: SparkSession, folder: str):
+    """The pointer's path, qualified, and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(folder, POINTER))
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(target), system
+
+
 def read_state(spark: SparkSession, folder: str) -> State | None:
     """The state that `folder` shows now, None before anything was published."""
-    try:
-        line = spark.read.text(os.path.join(folder, POINTER), wholetext=True).first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    target, system = _pointer(spark, folder)
+    if not system.exists(target):
+        return None
+    line = spark.read.text(target.toString(), wholetext=True).first()
     return State(**json.loads(line["value"]))
 
 
 def publish(spark: SparkSession, folder: str, state: State) -> None:
     """Make `state` the one that readers see: a file is written under another name and renamed over the
     old one, which file systems with a rename do in one step."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    files = jvm.org.apache.hadoop.fs
-    target = files.Path(os.path.join(folder, POINTER))
-    system = target.getFileSystem(conf)
-    target = system.makeQualified(target)
+    files, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    target, system = _pointer(spark, folder)
     draft = files.Path(target.getParent(), f"_{POINTER}-{uuid.uuid4().hex}")
     out = system.create(draft, True)
     out.write(json.dumps(asdict(state)).encode())

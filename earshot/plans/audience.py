@@ -180,3 +180,82 @@ def feature_impact(star: Star, exposed: Column) -> DataFrame:
             F.stddev_samp("listen_through_rate").alias("stddev_listen_through_rate"),
         )
     )
+
+
+def listener_sketches(star: Star, nominal: int = 12) -> DataFrame:
+    """(episode_id, event_date, listeners): a theta sketch of the users who played or completed an episode on a
+    day. Sketches unite, so they are written once a day and answer for any window without the log.
+
+    Up to 2^`nominal` users they are exact; beyond that the relative standard error is 1 / sqrt(2^nominal).
+    """
+    heard = star.valid_copies.where(ls.is_listen(F.col("event_type")))
+    return heard.groupBy("episode_id", "event_date").agg(
+        F.theta_sketch_agg(F.col("user_id").cast("string"), F.lit(nominal)).alias("listeners")
+    )
+
+
+def listeners_in_windows(sketches: DataFrame, earlier: tuple[str, str], later: tuple[str, str]) -> DataFrame:
+    """Per episode: distinct listeners of two windows of days (first and last), of both together, those of the
+    later one who are new, and those who came back; from `listener_sketches` only."""
+
+    def united(first: str, last: str):
+        days = F.col("event_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        return F.theta_union_agg(F.when(days, F.col("listeners")))
+
+    both = sketches.groupBy("episode_id").agg(united(*earlier).alias("a"), united(*later).alias("b"))
+
+    def count(sketch):
+        return F.theta_sketch_estimate(sketch)
+
+    return both.select(
+        "episode_id",
+        count("a").alias("earlier_listeners"),
+        count("b").alias("later_listeners"),
+        count(F.theta_union("a", "b")).alias("listeners"),
+        count(F.theta_difference("b", "a")).alias("new_listeners"),
+        count(F.theta_intersection("a", "b")).alias("returning_listeners"),
+    )
+
+
+#: Days that one mask of `activity_bits` stands for.
+BITS = 64
+
+
+def activity_bits(star: Star) -> DataFrame:
+    """(user_id, block, days): a bit for each day on which a user listened, 64 days of the calendar to a row.
+    Masks unite by `bit_or`, so they can be kept and added to."""
+    day = F.unix_date("event_date")
+    heard = star.valid_copies.where(ls.is_listen(F.col("event_type")))
+    return heard.groupBy("user_id", F.floor(day / BITS).cast("int").alias("block")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(BITS)))).alias("days")
+    )
+
+
+def retention_by_days(bits: DataFrame, users: DataFrame, windows: Sequence[tuple[int, int]]) -> DataFrame:
+    """Signup-month cohort x window (first and last day since signup): users of the cohort, and those who
+    listened in the window, from `activity_bits`. The windows may overlap and be any."""
+    since = F.unix_date("signup_date")
+    opened = users.select("user_id", F.date_trunc("month", "signup_date").cast("date").alias("cohort"), since.alias("since"))
+    masked = opened.join(bits, "user_id", "left")
+    low = F.col("block") * BITS
+
+    def listened(first: int, last: int):
+        # The window's days within the block, as a mask; shifts by 64 would wrap around.
+        start = F.greatest(F.col("since") + first - low, F.lit(0))
+        stop = F.least(F.col("since") + last - low, F.lit(BITS - 1))
+        ones = F.lit(-1).cast("long")
+        mask = F.call_function("shiftleft", ones, start).bitwiseAND(
+            F.call_function("shiftrightunsigned", ones, F.lit(BITS - 1) - stop)
+        )
+        inside = (start < BITS) & (stop >= 0) & (start <= stop)
+        return F.coalesce(inside & (F.col("days").bitwiseAND(mask) != 0), F.lit(False))
+
+    names = [f"{first}-{last}" for first, last in windows]
+    per_user = masked.groupBy("cohort", "user_id").agg(
+        *[F.max(listened(*w)).alias(name) for name, w in zip(names, windows)]
+    )
+    counted = per_user.groupBy("cohort").agg(
+        F.count(F.lit(1)).alias("cohort_users"), *[F.count_if(F.col(f"`{name}`")).alias(name) for name in names]
+    )
+    entries = [F.struct(F.lit(n).alias("days_since_signup"), F.col(f"`{n}`").alias("active_users")) for n in names]
+    return counted.select("cohort", "cohort_users", F.inline(F.array(*entries)))

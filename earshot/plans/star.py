@@ -436,6 +436,18 @@ def write_derived(stored: "StoredStar", version: int) -> "StoredStar":
     return StoredStar(folder, stored.inputs, stored.broadcast_limit, state)
 
 
+def rewrite(stored: "StoredStar", events: DataFrame) -> "StoredStar":
+    """Write `events`, measured with the dimensions of `stored`, in place of all it shows, and publish them. Places
+    of loads before `State.first` are not read any more once nobody reads an older state."""
+    before = stored.state
+    counted = events.withColumn(COPIES, F.lit(0).cast("long"))
+    lost = {name: -before.totals.get(name, 0) for name in write_totals()}
+    written = write_load(stored, counted, stored.folder, before, lost)
+    state = State(written.version, written.version, written.tables, {}, written.totals)
+    publish(stored.spark, stored.folder, state)
+    return StoredStar(stored.folder, stored.inputs, stored.broadcast_limit, state)
+
+
 class StoredStar(Star):
     """The same tables read from a folder written by `Star.write` or by loads; nothing is cleaned again, unless
     `cleaned_log` is asked for. The folder may hold more events than `inputs`, which then are the last batch.

@@ -15,6 +15,7 @@ from earshot.plans.star import (
     StoredStar,
     episode_attributes,
     measure,
+    rewrite,
     write_derived,
     write_load,
     write_totals,
@@ -112,16 +113,9 @@ def refresh_tables(inputs: Inputs, folder: str) -> State:
 
 
 def compact(inputs: Inputs, folder: str) -> State:
-    """Write the events that `folder` shows anew as one load, when many small loads have left many small
-    files. Places of loads before `State.first` are not read any more once nobody reads an older state."""
+    """Write the events that `folder` shows anew as one load, when many small loads have left many small files."""
     stored = StoredStar(folder, inputs)
-    # The dimensions are those that the events were measured with.
-    events = stored.classified.withColumn(COPIES, F.lit(0).cast("long"))
-    before = stored.state
-    written = write_load(stored, events, folder, before, {name: -before.totals.get(name, 0) for name in write_totals()})
-    state = State(written.version, written.version, written.tables, {}, written.totals)
-    publish(stored.spark, folder, state)
-    return state
+    return rewrite(stored, stored.classified).state
 
 
 def stream_increments(

@@ -312,17 +312,7 @@ def _rejections(dimension: str, value: str, source: str = "staged") -> str:
     FROM {source} GROUP BY {value}"""
 
 
-_DRIFT = """
-    SELECT event_date, reason, staged_events, rejected_events,
-           round(rate, 6) AS rejection_rate, round(baseline, 6) AS baseline_rate,
-           CASE WHEN baseline IS NULL THEN 'no_baseline' WHEN rate > baseline * 1.5 THEN 'warn'
-                ELSE 'ok' END AS severity
-    FROM (
-        SELECT *, CAST(rejected_events AS DOUBLE) / staged_events AS rate,
-               CAST(sum(rejected_events) OVER w AS DOUBLE)
-                   / CAST(nullif(sum(staged_events) OVER w, 0) AS DOUBLE) AS baseline
-        FROM (
-            SELECT CAST(s.event_datetime AS DATE) AS event_date, r.reason, count(*) AS staged_events,
+_DAILY_REJECTIONS = """SELECT CAST(s.event_datetime AS DATE) AS event_date, r.reason, count(*) AS staged_events,
                    count(*) FILTER (CASE r.reason
                        WHEN 'any' THEN is_rejected
                        WHEN 'missing_event_type' THEN is_missing_event_type
@@ -332,9 +322,74 @@ _DRIFT = """
             FROM staged s, (SELECT unnest(['any', 'missing_event_type', 'missing_user_id',
                                            'missing_episode_id', 'missing_duration']) AS reason) r
             WHERE s.event_datetime IS NOT NULL
-            GROUP BY ALL)
+            GROUP BY ALL"""
+
+_DRIFT = f"""
+    SELECT event_date, reason, staged_events, rejected_events,
+           round(rate, 6) AS rejection_rate, round(baseline, 6) AS baseline_rate,
+           CASE WHEN baseline IS NULL THEN 'no_baseline' WHEN rate > baseline * 1.5 THEN 'warn'
+                ELSE 'ok' END AS severity
+    FROM (
+        SELECT *, CAST(rejected_events AS DOUBLE) / staged_events AS rate,
+               CAST(sum(rejected_events) OVER w AS DOUBLE)
+                   / CAST(nullif(sum(staged_events) OVER w, 0) AS DOUBLE) AS baseline
+        FROM (
+{_DAILY_REJECTIONS})
         WINDOW w AS (PARTITION BY reason ORDER BY event_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
 
+_ALARM = f"""
+    , by_day AS ({_DAILY_REJECTIONS}),
+    rated AS (SELECT *, CAST(rejected_events AS DOUBLE) / staged_events AS rate, isodow(event_date) AS weekday FROM by_day),
+    usual AS (
+        SELECT reason, weekday, list_sort(list(rate))[CAST(ceil(0.75 * count(*)) AS INTEGER)] AS usual
+        FROM rated WHERE event_date <= '2024-01-17' GROUP BY reason, weekday
+    ),
+    summed AS (
+        SELECT r.*, usual, sum(coalesce(rate - usual, 0.0)) OVER w AS so_far
+        FROM rated r LEFT JOIN usual USING (reason, weekday) WHERE event_date >= '2024-01-18'
+        WINDOW w AS (PARTITION BY reason ORDER BY event_date)
+    ),
+    scored AS (
+        SELECT *, so_far - least(min(so_far) OVER (PARTITION BY reason ORDER BY event_date), 0.0) AS score FROM summed
+    )
+    SELECT event_date, reason, staged_events, rejected_events, round(rate, 6) AS rejection_rate,
+           round(usual, 6) AS usual_rate, round(score, 6) AS change_score,
+           CASE WHEN usual IS NULL THEN 'no_baseline' WHEN score > usual * 0.5 THEN 'warn' ELSE 'ok' END AS severity
+    FROM scored
+    UNION ALL
+    SELECT NULL, 'relationships: fct_listening_events.' || key, NULL, failing, NULL, NULL, NULL,
+           CASE WHEN failing > 0 THEN 'error' ELSE 'ok' END
+    FROM (
+        SELECT 'user_id' AS key, count(*) AS failing FROM fact WHERE user_id NOT IN (SELECT user_id FROM people)
+        UNION ALL
+        SELECT 'episode_id', count(*) FROM fact
+        WHERE episode_id NOT IN (SELECT episode_id FROM shows WHERE episode_id % 7 <> 3)
+    )"""
+
+_IN_WINDOWS = """
+    , heard AS (
+        SELECT episode_id, user_id, bool_or(event_date BETWEEN '2024-01-01' AND '2024-01-14') AS a,
+               bool_or(event_date BETWEEN '2024-01-12' AND '2024-01-31') AS b
+        FROM listens GROUP BY episode_id, user_id
+    )
+    SELECT episode_id, count(*) FILTER (a) AS earlier_listeners, count(*) FILTER (b) AS later_listeners,
+           count(*) FILTER (a OR b) AS listeners, count(*) FILTER (b AND NOT a) AS new_listeners,
+           count(*) FILTER (a AND b) AS returning_listeners
+    FROM heard GROUP BY episode_id"""
+
+_BY_DAYS = """
+    SELECT cohort, cohort_users, days_since_signup, active_users
+    FROM (
+        SELECT date_trunc('month', p.signup_date)::DATE AS cohort, w.name AS days_since_signup,
+               count(DISTINCT p.user_id) AS cohort_users,
+               count(DISTINCT CASE WHEN l.event_date BETWEEN p.signup_date + w.low AND p.signup_date + w.high
+                                   THEN p.user_id END) AS active_users
+        FROM people p
+        CROSS JOIN (VALUES ('0-59', 0, 59), ('60-119', 60, 119), ('100-140', 100, 140), ('120-239', 120, 239))
+                   w(name, low, high)
+        LEFT JOIN listens l ON l.user_id = p.user_id
+        GROUP BY ALL)"""
+
 _HEAVY = """
     SELECT CAST(p.percent AS BIGINT) AS top_percent, count(*) AS heavy_users,
            CAST(sum(n) AS BIGINT) AS heavy_listens,
@@ -393,7 +448,38 @@ _DAMAGED = """
     UNION ALL
     SELECT md5('4:true' || length(line) || ':' || line), line, true, 1, 'damaged_line' FROM lines"""
 
+_OVERLONG = "s.event_type IN ('play', 'complete') AND s.duration > 3 * c.duration_seconds"
+_MODELS_2 = MODELS.replace("WHERE NOT s.is_rejected", f"WHERE NOT s.is_rejected AND NOT coalesce({_OVERLONG}, FALSE)")
+
+_RECHECKED = """
+    , judged AS (
+        SELECT s.*, CASE WHEN s.event_type IN ('play', 'complete') AND s.duration IS NOT NULL
+                         THEN s.duration > 3 * c.duration_seconds ELSE FALSE END AS overlong
+        FROM staged s LEFT JOIN catalogue c USING (episode_id)
+    )"""
+_REASONS = "missing_event_type missing_user_id missing_episode_id missing_timestamp malformed_timestamp missing_duration".split()
+
 _STATEMENTS = {
+    "recheck_events": f"""{_RECHECKED}
+    SELECT event_id, overlong AS is_overlong_duration, is_rejected OR coalesce(overlong, FALSE) AS is_rejected,
+           rejection_reason_count + CAST(coalesce(overlong, FALSE) AS INTEGER) AS rejection_reason_count,
+           CASE WHEN coalesce(overlong, FALSE) THEN concat_ws(', ', nullif(rejection_reason_summary, ''), 'overlong_duration')
+                ELSE rejection_reason_summary END AS rejection_reason_summary,
+           CASE WHEN overlong IS NULL THEN '1' ELSE '2' END AS rejection_ruleset_version
+    FROM judged""",
+    "ruleset_coverage": _RECHECKED
+    + _union(
+        [
+            f"""
+    SELECT CASE WHEN overlong IS NULL THEN '1' ELSE '2' END AS rejection_ruleset_version, '{reason}' AS reason,
+           count(*) AS events, count(*) FILTER ({flag}) AS failed, count(*) FILTER ({flag} IS NULL) AS not_checked
+    FROM judged GROUP BY ALL"""
+            for reason, flag in [*((r, f"is_{r}") for r in _REASONS), ("overlong_duration", "overlong")]
+        ]
+    ),
+    "rejection_alarm": _ALARM,
+    "listeners_in_windows": _IN_WINDOWS,
+    "retention_by_days": _BY_DAYS,
     "damaged_log": _DAMAGED,
     "ltr_by_country_as_of": _AS_OF,
     "stg_users": "SELECT * FROM people",
@@ -563,3 +649,4 @@ _STATEMENTS = {
 }
 
 ORACLE = {name: f"WITH {SOURCES},{MODELS}{statement}" for name, statement in _STATEMENTS.items()}
+ORACLE["mart_under_second_rules"] = f"WITH {SOURCES},{_MODELS_2}{_STATEMENTS['mart_user_engagement']}"
