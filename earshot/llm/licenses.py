@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,19 +86,19 @@ def words(text: str | bytes) -> list[bytes]:
     return raw.translate(_TABLE).split()
 
 
-def blocks(text: str) -> list[set[bytes]]:
-    """Word sets of a text's blocks: its lines, and each paragraph of several lines, as notices wrap."""
-    found, paragraph = [], []
+def blocks(text: str) -> Iterator[list[bytes]]:
+    """Words of a text's blocks: its lines, and each paragraph of several lines, as notices wrap."""
+    paragraph, lines = [], 0
     for line in [*text.split("\n"), ""]:
         own = words(line)
         if own:
-            found.append(set(own))
-            paragraph.append(found[-1])
+            yield own
+            paragraph += own
+            lines += 1
         else:
-            if len(paragraph) > 1:
-                found.append(set().union(*paragraph))
-            paragraph = []
-    return found
+            if lines > 1:
+                yield paragraph
+            paragraph, lines = [], 0
 
 
 def _vocabulary(templates: list[tuple[str, str]]) -> frozenset[bytes]:
@@ -158,9 +160,9 @@ class Index:
         return found
 
 
-def named_share(all_words: list[bytes], template: str, threshold: float) -> float:
-    """The largest share of the template's words among consecutive words of a text, `ROOM` times as many
-    as the template has, that also name the license as `NAMES` demands; 0 if below the threshold.
+def is_named(block: list[bytes], template: str, threshold: float) -> bool:
+    """Whether the template's words stand together in a block that contains them: `threshold` of them among
+    consecutive words, `ROOM` times as many as the template has, that also name the license as `NAMES` demands.
 
     The words of a long line may stand far apart, and the words that two licenses differ in are few.
     """
@@ -168,33 +170,37 @@ def named_share(all_words: list[bytes], template: str, threshold: float) -> floa
     room, wanted = ROOM * len(wanted), frozenset(wanted)
     needed = max(1, math.ceil(threshold * len(wanted) - 1e-9))
     names = [[b" " + n.encode() + b" " for n in one] for one in NAMES.get(template, [])]
-    places = [i for i, w in enumerate(all_words) if w in wanted]
+    places = [i for i, w in enumerate(block) if w in wanted]
     held: Counter = Counter()
-    stop = most = 0
+    stop = 0
     for start in places:
         while stop < len(places) and places[stop] < start + room:
-            held[all_words[places[stop]]] += 1
+            held[block[places[stop]]] += 1
             stop += 1
-        if len(held) >= max(needed, most + 1):
-            joined = b" " + b" ".join(all_words[start : start + room]) + b" "
+        if len(held) >= needed:
+            joined = b" " + b" ".join(block[start : start + room]) + b" "
             if all(any(n in joined for n in one) for one in names):
-                most = len(held)
-        held[all_words[start]] -= 1
-        if not held[all_words[start]]:
-            del held[all_words[start]]
-    return most / len(wanted) if most else 0.0
+                return True
+        held[block[start]] -= 1
+        if not held[block[start]]:
+            del held[block[start]]
+    return False
 
 
 def phrase_places(all_words: list[bytes], phrases: dict[str, str] = PHRASES) -> list[tuple[int, str]]:
     """(index of the first word, label) of every place where a phrase's words stand consecutively."""
     joined = b" " + b" ".join(all_words) + b" "
-    found = []
+    found, starts = [], None
     for phrase, label in phrases.items():
         needle = b" " + b" ".join(words(phrase)) + b" "
-        at = joined.find(needle)
+        at, hits = joined.find(needle), []
         while at >= 0:
-            found.append((joined.count(b" ", 0, at), label))
+            hits.append(at)
             at = joined.find(needle, at + 1)
+        if hits:
+            # The blank before a word is the word's place among all blanks, counted once for the text.
+            starts = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) if starts is None else starts
+            found += [(i, label) for i in np.searchsorted(starts, hits).tolist()]
     return sorted(found)
 
 
@@ -202,16 +208,17 @@ def scan(
     docs: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES
 ) -> DataFrame:
     """Per document the notices its text holds: doc_id, n_words, n_base, first_word, last_word,
-    base_labels, labels, score, and matches (array of template number, label and containment).
+    base_labels, labels, score, and matches (array of template number, label, containment and named).
 
     Base: places where the words of a phrase stand consecutively. Method: an exact containment join of
     the text's blocks (lines and paragraphs) with `templates`: the words' document counts over the
     whole table put them in a global order, and prefix, length and position filters leave few pairs to
-    count. What is found counts if the license is named (`NAMES`) and the words stand together, see
-    `named_share`. The index holds the templates only, a fixed list, so it goes along with the tasks.
+    count. All that is found is in `matches`, with the largest containment of a block. It gives a label if in
+    such a block the license is named (`NAMES`) and the words stand together, see `is_named`: words of
+    two licenses are much the same. The index holds the templates only, a fixed list, so it goes along with the tasks.
 
     Labels are distinct, sorted and comma-joined; score is 1 where a phrase stands, else the largest
-    containment found, else 0. Null or empty text: no words, empty labels, null first and last word.
+    containment of a match that gives a label, else 0. Null or empty text: no words, empty labels, null first and last word.
     Every row is a document of its own. Empty table: no rows. Other columns are ignored.
     """
     index = Index(templates, token_counts(docs, templates), threshold)
@@ -224,14 +231,15 @@ def scan(
                 every = words(text)
                 base = phrase_places(every, phrases)
                 best: dict[int, float] = {}
+                named: set[int] = set()
                 if not index.opening.isdisjoint(every):
                     for block in blocks(text):
-                        for number, share in index.matches(block):
+                        for number, share in index.matches(set(block)):
                             best[number] = max(share, best.get(number, 0.0))
-                best = {n: named_share(every, templates[n][1], threshold) for n in best}
-                best = {n: share for n, share in best.items() if share}
+                            if number not in named and is_named(block, templates[number][1], threshold):
+                                named.add(number)
                 base_labels = {label for _, label in base}
-                labels = base_labels | {index.labels[n] for n in best}
+                labels = base_labels | {index.labels[n] for n in named}
                 row = (
                     len(every),
                     len(base),
@@ -239,8 +247,11 @@ def scan(
                     base[-1][0] if base else None,
                     ",".join(sorted(base_labels)),
                     ",".join(sorted(labels)),
-                    1.0 if base else max(best.values(), default=0.0),
-                    [{"template": n, "label": index.labels[n], "containment": s} for n, s in sorted(best.items())],
+                    1.0 if base else max((best[n] for n in named), default=0.0),
+                    [
+                        {"template": n, "label": index.labels[n], "containment": share, "named": n in named}
+                        for n, share in sorted(best.items())
+                    ],
                 )
                 for column, value in zip(out, row):
                     column.append(value)
@@ -250,7 +261,7 @@ def scan(
         docs.select("doc_id", "text"),
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-        "score double, matches array<struct<template:int,label:string,containment:double>>",
+        "score double, matches array<struct<template:int,label:string,containment:double,named:boolean>>",
     )
 
 
