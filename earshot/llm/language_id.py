@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from earshot.llm.common import map_arrow, slices, stored, without
 #: Characters an n-gram has; four of 16 bits fill the key.
 ORDER = 4
 SPACE, EDGE = 32, 1
+#: Natural log of the probability of a character about which nothing is known.
+UNSEEN = -math.log(1 << 16)
 
 
 @lru_cache(maxsize=1)
@@ -98,61 +101,43 @@ class HashArray:
         return out
 
 
-class Models:
-    """A character model per language, all in the same arrays: a column for each language.
+class Shard:
+    """The character models of all languages for the n-grams whose last character but one lies in `low` to `high`:
+    with such an n-gram stand all that scoring it may ask for, its shorter ends and its contexts.
 
-    `counts`: for each language the keys of its n-grams of ORDER characters and how often they come.
-    Interpolated Kneser-Ney: n-grams of the highest order count as often as they come, shorter ones
-    by the number of different characters that precede them; a discount estimated from the counts of
-    one and two is taken from each and given to the next shorter order.
+    `grams[order]` and `contexts[order]` map a language to (keys, natural logs): of the probability of an n-gram's
+    last character after the others, and of the weight that a context gives to the next shorter order.
+    Both are kept as sorted hash arrays with a column for each language.
     """
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.labels = sorted(counts)
-        width = len(self.labels)
+    def __init__(self, labels: list[str], low: int, high: int, grams: dict, contexts: dict):
+        self.labels, self.low, self.high = labels, low, high
         self.exact: list[HashArray] = []
         self.backoff: list[HashArray] = []
-        tables = {label: [] for label in self.labels}
-        for label in self.labels:
-            keys, times = counts[label]
-            for order in range(ORDER, 0, -1):
-                tables[label].append((keys, times))
-                shorter = keys & np.uint64((1 << 16 * (order - 1)) - 1) if order > 1 else keys
-                keys, times = np.unique(shorter, return_counts=True)
-            tables[label].reverse()
-        self.floor = -math.log(1 << 16)
+        nothing = (np.zeros(0, np.uint64), np.zeros(0))
         for order in range(1, ORDER + 1):
-            union = np.unique(np.concatenate([tables[x][order - 1][0] for x in self.labels] or [np.zeros(0, np.uint64)]))
-            contexts = np.unique(union >> np.uint64(16))
-            if order == 1:
-                below = np.full((len(union), width), self.floor)
-            else:
-                below = self._score(union & np.uint64((1 << 16 * (order - 1)) - 1), order - 1)
-            value, gamma = np.empty((len(union), width)), np.zeros((len(contexts), width))
-            for column, label in enumerate(self.labels):
-                keys, times = tables[label][order - 1]
-                times = times.astype(np.float64)
-                once, twice = (times == 1).sum(), (times == 2).sum()
-                discount = min(0.95, max(0.1, once / max(once + 2 * twice, 1)))
-                place = np.searchsorted(contexts, keys >> np.uint64(16))
-                total = np.bincount(place, times, len(contexts))
-                kinds = np.bincount(place, minlength=len(contexts))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    weight = np.where(total > 0, discount * kinds / np.maximum(total, 1e-300), 1.0)
-                gamma[:, column] = np.log(weight)
-                own = np.zeros(len(union))
-                own[np.searchsorted(union, keys)] = np.maximum(times - discount, 0)
-                at = np.searchsorted(contexts, union >> np.uint64(16))
-                seen = total[at] > 0
-                direct = np.where(seen, own / np.where(seen, total[at], 1), 0)
-                value[:, column] = np.log(direct + weight[at] * np.exp(below[:, column]))
+            own = [grams.get(order, {}).get(x, nothing) for x in labels]
+            given = [contexts.get(order, {}).get(x, nothing) for x in labels]
+            before = np.unique(np.concatenate([k for k, _ in given] or [nothing[0]]))
+            gamma = np.zeros((len(before), len(labels)))
+            for column, (keys, values) in enumerate(given):
+                gamma[np.searchsorted(before, keys), column] = values
+            union = np.unique(np.concatenate([k for k, _ in own] or [nothing[0]]))
+            # What a language has not seen follows from its context and the next shorter order.
+            value = self._score(union & np.uint64((1 << 16 * (order - 1)) - 1), order - 1).astype(np.float64)
+            at = np.searchsorted(before, union >> np.uint64(16))
+            known = at < len(before)
+            known[known] = before[at[known]] == (union >> np.uint64(16))[known]
+            value[known] += gamma[at[known]]
+            for column, (keys, values) in enumerate(own):
+                value[np.searchsorted(union, keys), column] = values
             self.exact.append(HashArray(union, value))
-            self.backoff.append(HashArray(contexts, gamma))
+            self.backoff.append(HashArray(before, gamma))
 
     def _score(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Natural log of each n-gram's last character after the others, a column per language."""
         if order == 0:
-            return np.full((len(keys), len(self.labels)), self.floor, np.float32)
+            return np.full((len(keys), len(self.labels)), UNSEEN, np.float32)
         exact = self.exact[order - 1]
         row = exact.find(keys)
         out = np.empty((len(keys), len(self.labels)), np.float32)
@@ -169,17 +154,27 @@ class Models:
             out[missed] = lower
         return out
 
-    def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Per text the characters scored, and bits for all of them in each language."""
-        chars, owner = letters(texts)
-        scored = chars != EDGE
-        keys, owner = grams(chars)[scored], owner[scored]
-        number = np.bincount(owner, minlength=len(texts))
-        bits = np.zeros((len(texts), len(self.labels)))
+    def bits(self, keys: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """Bits that the n-grams of this shard cost in each text (row) and language (column)."""
+        out = np.zeros((texts, len(self.labels)))
+        middle = (keys >> np.uint64(16)) & np.uint64(0xFFFF)
+        mine = (middle >= self.low) & (middle <= self.high)
+        keys, owner = keys[mine], owner[mine]
         if len(keys) and self.labels:
             starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            bits[owner[starts]] = np.add.reduceat(self._score(keys, ORDER), starts, axis=0, dtype=np.float64)
-        return number, -bits / math.log(2)
+            out[owner[starts]] = np.add.reduceat(self._score(keys, ORDER), starts, axis=0, dtype=np.float64)
+        return -out / math.log(2)
+
+
+def totals(texts: list[str | None], shards: Iterable[Shard], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the characters scored, and bits for all of them in each of `width` languages."""
+    chars, owner = letters(texts)
+    scored = chars != EDGE
+    keys, owner = grams(chars)[scored], owner[scored]
+    bits = np.zeros((len(texts), width))
+    for shard in shards:
+        bits += shard.bits(keys, owner, len(texts))
+    return np.bincount(owner, minlength=len(texts)), bits
 
 
 def fold(doc_id: Column) -> Column:
@@ -204,34 +199,112 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def train(docs: DataFrame, most_grams: int = 600_000) -> Models:
-    """Models learnt from all texts of `docs` in folds 0 and 1 that have a language.
+def _suffix(order: int) -> Column:
+    """The last `order` characters of a key."""
+    return F.col("key").bitwiseAND(F.lit((1 << 16 * order) - 1 if order < 4 else -1).cast("long"))
 
-    All texts are counted. The n-grams that come to the driver are bounded: where the languages have
-    more than `most_grams` together, those seen less often than a power of two are left out, the
-    smallest that suffices, as count cutoffs usually are.
+
+def smoothed(counts: DataFrame) -> DataFrame:
+    """(lang, sort, key, value): interpolated Kneser-Ney models of `counts` (lang, gram, n), worked out as joins.
+
+    `sort` is the order of an n-gram, with the natural log of its probability, or minus the order whose context
+    `key` is, with the log of what the context leaves to the next shorter order. N-grams of the highest order count
+    as often as they come, shorter ones by the number of different characters that precede them; a discount
+    estimated from the numbers of ones and twos is taken from each. Nothing is cut off: all n-grams of a
+    language count, and all have a value.
+    """
+    levels = {ORDER: counts.select("lang", F.col("gram").alias("key"), "n")}
+    for order in range(ORDER - 1, 0, -1):
+        longer = levels[order + 1].select("lang", _suffix(order).alias("key"))
+        levels[order] = stored(longer.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), "grams")
+    below, parts = None, []
+    for order, level in sorted(levels.items()):
+        level = level.withColumn("before", F.shiftrightunsigned("key", 16))
+        seen = level.groupBy("lang", "before").agg(
+            F.sum("n").alias("total"),
+            F.count(F.lit(1)).alias("kinds"),
+            F.count_if(F.col("n") == 1).alias("once"),
+            F.count_if(F.col("n") == 2).alias("twice"),
+        )
+        found = seen.groupBy("lang").agg(F.sum("once").alias("ones"), F.sum("twice").alias("twos"))
+        share = F.col("ones") / F.greatest(F.lit(1), F.col("ones") + 2 * F.col("twos"))
+        discounts = found.select("lang", F.least(F.lit(0.95), F.greatest(F.lit(0.1), share)).alias("discount"))
+        # A row per language.
+        left = seen.join(F.broadcast(discounts), "lang").select(
+            "lang", "before", "total", "discount", (F.col("discount") * F.col("kinds") / F.col("total")).alias("weight")
+        )
+        level = level.join(left, ["lang", "before"])
+        if below is None:
+            shorter = F.lit(math.exp(UNSEEN))
+        else:
+            level = level.withColumn("end", _suffix(order - 1)).join(
+                below.select("lang", F.col("key").alias("end"), F.col("p").alias("shorter")), ["lang", "end"]
+            )
+            shorter = F.col("shorter")
+        direct = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        below = stored(level.select("lang", "key", (direct + F.col("weight") * shorter).alias("p")), "smoothed")
+        parts.append(below.select("lang", F.lit(order).alias("sort"), "key", F.log("p").alias("value")))
+        parts.append(left.select("lang", F.lit(-order).alias("sort"), F.col("before").alias("key"), F.log("weight").alias("value")))
+    return reduce(DataFrame.union, parts)
+
+
+def train(docs: DataFrame, shard_bytes: int = 64 << 20) -> tuple[list[str], Iterator[Shard]]:
+    """The languages, sorted, and their models in shards, learnt from all texts of `docs` in folds 0 and 1 that have
+    a language.
+
+    All n-grams are counted and kept. One shard is gathered at a time: the n-grams of some neighbouring characters,
+    as many as take about `shard_bytes` as hash arrays, one character at least.
     """
     learnt = docs.where(fold(F.col("doc_id")).isin(0, 1) & F.col("lang").isNotNull())
-    counts = stored(gram_counts(learnt), "grams")
-    levels = counts.groupBy(F.floor(F.log2("n")).alias("level")).count().collect()
-    cutoff, kept = 0, sum(r["count"] for r in levels)
-    for row in sorted(levels, key=lambda r: r["level"]):
-        if kept <= most_grams:
-            break
-        kept -= row["count"]
-        cutoff = row["level"] + 1
-    table = counts.where(F.col("n") >= 1 << cutoff).toArrow()
-    langs = np.array(table.column("lang").to_pylist(), object)
-    keys, times = np.asarray(table.column("gram")).view(np.uint64), np.asarray(table.column("n"))
-    return Models({x: _sorted(keys[langs == x], times[langs == x]) for x in sorted(set(langs))})
-
-
-def _sorted(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    return keys[order], times[order]
-
-
-def identify(docs: DataFrame, models: Models | None = None, strictness: float = 12.0) -> DataFrame:
+    counts = stored(gram_counts(learnt), "counts")
+    labels = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not labels:
+        return [], iter(())
+    # Single characters and the empty context belong to every shard; the others to the character in the middle.
+    middle = (
+        F.when(F.abs("sort") == 1, F.lit(-1).cast("long"))
+        .when(F.col("sort") > 0, F.shiftrightunsigned("key", 16).bitwiseAND(F.lit(0xFFFF).cast("long")))
+        .otherwise(F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")))
+    )
+    models = stored(smoothed(counts).withColumn("middle", middle), "models")
+    # A row for each character, 65,537 at most.
+    sizes = models.groupBy("middle").agg(F.count(F.lit(1)).alias("n")).orderBy("middle").collect()
+    most = max(1, shard_bytes // (8 + 4 * len(labels)))
+    ranges, held = [[0, 0]], 0
+    for row in sizes:
+        if row["middle"] < 0:
+            continue
+        if held and held + row["n"] > most:
+            ranges[-1][1] = row["middle"] - 1
+            ranges.append([row["middle"], row["middle"]])
+            held = 0
+        held += row["n"]
+    ranges[-1][1] = 0xFFFF
+
+    def shards() -> Iterator[Shard]:
+        for low, high in ranges:
+            own = models.where((F.col("middle") < 0) | F.col("middle").between(low, high)).toArrow()
+            langs = np.asarray(pa.compute.index_in(own.column("lang"), pa.array(labels)))
+            sorts, values = np.asarray(own.column("sort")), np.asarray(own.column("value"))
+            keys = np.asarray(own.column("key")).view(np.uint64)
+            tables: dict[int, dict] = {}
+            for sort in np.unique(sorts).tolist():
+                for i, label in enumerate(labels):
+                    at = np.flatnonzero((sorts == sort) & (langs == i))
+                    if len(at):
+                        tables.setdefault(sort, {})[label] = keys[at], values[at]
+            contexts = {-sort: table for sort, table in tables.items() if sort < 0}
+            yield Shard(labels, low, high, tables, contexts)
+
+    return labels, shards()
+
+
+def identify(
+    docs: DataFrame,
+    models: tuple[list[str], Iterable[Shard]] | None = None,
+    strictness: float = 12.0,
+    shard_bytes: int = 64 << 20,
+) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, rejected, bits_per_char, n_letters.
 
     `lang_pred` is the language whose model gives the text's letters the lowest cross-entropy per
@@ -243,21 +316,31 @@ def identify(docs: DataFrame, models: Models | None = None, strictness: float =
     `strictness` deviations, a deviation being the spread between documents and what a short text
     adds to it. A language without calibration rejects nothing.
 
-    Models are learnt by `train` where none are given. Null doc_id: not learnt from, not held out. Null
+    Models are learnt by `train` where none are given; n-grams are never left out, and of a language that comes in
+    one text only there is a model too. What does not fit into one broadcast of `shard_bytes` is broadcast in several,
+    and the bits of a text are summed over them. Null doc_id: not learnt from, not held out. Null
     lang: not learnt from. Repeated rows: documents of their own. A table nothing can be learnt from:
     `und` throughout. Empty table: no rows. Other columns are never looked at.
     """
-    models = models or train(docs)
-    labels = np.array([*models.labels, "und"], object)
+    known, shards = models or train(docs, shard_bytes)
+    labels = np.array([*known, "und"], object)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(models)  # bounded by most_grams
+    # Each is bounded by shard_bytes; there are as many as the n-grams need, and a task holds one at a time.
+    shared = [spark.sparkContext.broadcast(shard) for shard in shards]
 
     def run(batches):
-        own = shared.value
-        for batch in slices(batches, "text", 2 << 20):
-            number, bits = own.totals(batch.column("text").to_pylist())
+        def one_by_one():
+            for broadcast in shared:
+                yield broadcast.value
+                if len(shared) > 1:
+                    # Read anew from the executor's disk when the next texts need it.
+                    broadcast.__dict__.pop("_value", None)
+
+        # Where shards have to be read again, they are for more texts at a time.
+        for batch in slices(batches, "text", (2 if len(shared) <= 1 else 16) << 20):
+            number, bits = totals(batch.column("text").to_pylist(), one_by_one(), len(known))
             size = np.maximum(number, 1)
-            if len(own.labels):
+            if len(known):
                 best = bits.argmin(axis=1)
                 each = bits / size[:, None]
                 gap = np.minimum(size, 20)[:, None] * (each - each.min(axis=1, keepdims=True))
@@ -265,7 +348,7 @@ def identify(docs: DataFrame, models: Models | None = None, strictness: float =
                 mean = each[np.arange(len(size)), best]
             else:
                 best, score, mean = np.zeros(len(size), np.int64), np.zeros(len(size)), np.zeros(len(size))
-            none = (number == 0) | (len(own.labels) == 0)
+            none = (number == 0) | (len(known) == 0)
             pred = np.where(none, "und", labels[best])
             yield (
                 batch.column("doc_id"),
@@ -282,7 +365,8 @@ def identify(docs: DataFrame, models: Models | None = None, strictness: float =
         "doc_id long, lang string, lang_pred string, score double, bits_per_char double, n_letters long",
     )
     scored = stored(scored.withColumn("fold", fold(F.col("doc_id"))), "languages")
-    shared.unpersist()
+    for broadcast in shared:
+        broadcast.unpersist()
     sure = scored.where((F.col("fold") == 3) & (F.col("lang") == F.col("lang_pred")))
     bits, mean, letters = F.col("bits_per_char"), F.col("_mean"), F.least("n_letters", F.lit(400))
     sums = sure.groupBy(F.col("lang").alias("_lang")).agg(
