@@ -74,13 +74,15 @@ def mix(
     budget: int | None = None,
     block_docs: int = 1000,
     seed: int = 0,
+    tokens: Column | None = None,
 ) -> DataFrame:
     """All columns of `docs`, a row for every time a document is drawn, plus tokens, weight, epoch (from
     0), block, and place (its order in the mixture, 0 to 1, at which all sources start and end together).
 
     Weights are the sources' token shares raised to an exponent and normalised; the exponent is
     bisected until the weights' entropy or the sources' repetition meets the target (`find_exponent`).
-    A source gets `weight * budget` tokens. Without a `budget` it is the smallest one at which each
+    `tokens` says how many tokens a row has, one at least, where a tokenizer has counted them; without it a row
+    has one for every four bytes of its text. A source gets `weight * budget` tokens. Without a `budget` it is the smallest one at which each
     source is read whole at least once, so nothing is lost and the scarce sources repeat.
 
     Each epoch of a source is a permutation of its blocks, which are about `block_docs` documents dealt
@@ -95,9 +97,9 @@ def mix(
     weight, epoch, block or place are overwritten.
     """
     added = ("tokens", "weight", "epoch", "block", "place")
-    docs = docs.drop(*added)
-    names = docs.columns
-    sized = docs.withColumn("tokens", _tokens(F.col("text")))
+    size = _tokens(F.col("text")) if tokens is None else F.greatest(F.lit(1), F.coalesce(tokens, F.lit(1))).cast("long")
+    sized = docs.withColumn("tokens", size).drop(*added[1:])
+    names = [c for c in sized.columns if c != "tokens"]
     by_source = stored(
         sized.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("n")), "sources"
     )
