@@ -128,3 +128,50 @@ def hard_negatives(rows, asked, scale=256, most=5, percent=80):
             fits = [s for s in ranked if not s[2] and percent * top <= 100 * s[0] <= 100 * top]
             out += [(a, positive, n, i, top, score) for n, (score, i, _) in enumerate(fits[:most], 1)]
     return sorted(out)
+
+
+def kneser_ney(texts, order=4, unseen=1 / 65536):
+    """A function (context, character) -> probability of an interpolated Kneser-Ney model of lists of characters, the
+    contexts being tuples of order - 1 characters; by the definition, with sets and counters."""
+    counts = {order: collections.Counter()}
+    for chars in texts:
+        padded = (1,) * (order - 1) + tuple(chars)
+        for i in range(len(chars)):
+            counts[order][padded[i : i + order]] += 1
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(gram[1:] for gram in counts[n + 1])
+
+    def probability(context, char, n=order):
+        if n == 0:
+            return unseen
+        context = context[len(context) - (n - 1) :] if n > 1 else ()
+        following = {g[-1]: c for g, c in counts[n].items() if g[:-1] == context}
+        lower = probability(context, char, n - 1)
+        if not following:
+            return lower
+        values = list(counts[n].values())
+        ones, twos = values.count(1), values.count(2)
+        discount = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
+        total = sum(following.values())
+        return max(following.get(char, 0) - discount, 0) / total + discount * len(following) / total * lower
+
+    return probability
+
+
+def without_common_lines(rows, least_chars=20, least_docs=3):
+    """Texts of (doc_id, text) rows without the lines that many documents share, except in the largest doc_id."""
+
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    held = {}
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= least_chars:
+                held.setdefault(key(line), set()).add(doc)
+    common = {k: max(docs) for k, docs in held.items() if len(docs) >= least_docs}
+    out = []
+    for doc, text in rows:
+        kept = [x for x in (text or "").split("\n") if common.get(key(x), doc) == doc]
+        out.append((doc, text if text is None else "\n".join(kept)))
+    return out

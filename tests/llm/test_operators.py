@@ -109,6 +109,36 @@ def test_packing(spark, odd):
         check_pieces(packing.pieces_digest(packing.pack(docs)).collect(), rows)
 
 
+@pytest.mark.parametrize("weights", [{"a": 3, "b": 1, "c": 1}, {"a": 1, "b": 0}, {}])
+def test_packing_to_weights_is_a_plain_deficit_round_robin(spark, weights):
+    rows = [(i, "abbc"[i % 4], f"text {i} " * (i % 9)) for i in range(60)] + [(99, None, "no source " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    encode = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.json")).encode_ordinary
+    left = {}
+    for _, source, text in rows:
+        left[source] = left.get(source, 0) + len(encode(text)) + 1
+    queues, _, quantum = packing.quanta(left, 64, weights)
+    deficit, stream = dict.fromkeys(queues, 0), []
+    while any(left.values()):
+        for queue, q in zip(queues, quantum.tolist()):
+            deficit[queue] += q
+            send = min(deficit[queue] // packing.GRAIN, left[queue])
+            deficit[queue] -= send * packing.GRAIN
+            left[queue] -= send
+            stream += [queue] * send
+    got = [None] * len(stream)
+    for p in packing.pack(docs, 64, weights=weights).collect():
+        at = p.sequence_id * 64 + p.offset
+        got[at : at + p.length] = [p.source] * p.length
+    assert got == stream
+
+
+def test_a_source_of_no_weight_may_be_of_any_length():
+    for long in (3 * 10**9, 10**13):
+        _, length, quantum = packing.quanta({"a": 10, "b": long}, 2048, {"a": 1, "b": 0})
+        assert all(int(n) * packing.GRAIN // int(q) * int(quantum.max()) < 2**63 for n, q in zip(length, quantum))
+
+
 def test_line_dedup_against_plain(spark, odd):
     docs = odd.select("doc_id", "text").union(documents(spark).select("doc_id", "text"))
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
@@ -253,6 +283,36 @@ def test_pages_come_back_from_archives(spark):
         assert got == sorted(want, key=repr)
 
 
+def test_notices_of_all_blocks_against_all_templates(spark):
+    """What the join finds, named or not, is what counting the words of every template in every block finds."""
+    odd = " ".join(text for _, text in licenses.TEMPLATES)
+    rows = [(-1, odd), (-2, odd.replace(" ", "\n")), (-3, "Released under\nthe Apache License"), (-4, None)]
+    docs = documents(spark).select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = {}
+    for doc, text in docs.collect():
+        found = want.setdefault(doc, {})
+        paragraphs = "\n".join(line if licenses.words(line) else "" for line in (text or "").split("\n")).split("\n\n")
+        for block in [*(text or "").split("\n"), *paragraphs]:
+            own = set(licenses.words(block))
+            for number, (_, template) in enumerate(licenses.TEMPLATES):
+                needed = set(licenses.words(template))
+                if len(own & needed) >= math.ceil(0.8 * len(needed) - 1e-9):
+                    found[number] = max(found.get(number, 0), len(own & needed) / len(needed))
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert {d: {m.template: m.containment for m in r.matches} for d, r in got.items()} == want
+    assert any(want.values()) and not any(m.named for m in got[-3].matches) and got[-3].labels == ""
+    for r in got.values():
+        assert {m.label for m in r.matches if m.named} | set(filter(None, r.base_labels.split(","))) == set(filter(None, r.labels.split(",")))
+
+
+def test_a_long_text_of_phrases_is_scanned_in_one_pass():
+    text = "under the MIT license, and Apache License, Version 2! " * 200_000
+    began = time.time()
+    found = licenses.phrase_places(licenses.words(text))
+    assert time.time() - began < 5 and len(text) > 10_000_000
+    assert len(found) == 400_000 and found[:3] == [(0, "mit"), (5, "apache-2"), (9, "mit")]
+
+
 def test_a_conversation_of_a_hundred_thousand_turns(spark):
     n = 100_000
     role = F.when(F.col("id") % 5 < 3, "assistant").otherwise("user")
@@ -382,6 +442,21 @@ def test_languages_of_texts_not_learnt_from(spark):
     assert got.where("rejected").count() <= 10
 
 
+def test_a_rare_language_is_kept_however_small_the_shards(spark):
+    """Twelve texts of a fifth language beside a thousand of four others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto"
+    words = finnish.split()
+    rare = [(10**9 + i, " ".join(words[i:] + words[:i]), "fi") for i in range(12)]
+    both = docs.union(spark.createDataFrame(rare, docs.schema))
+    labels, shards = language_id.train(both, 200_000)
+    assert labels == ["de", "en", "es", "fi", "fr"] and len(list(shards)) > 5
+    for size in (64 << 20, 1 << 20):
+        got = language_id.identify(both, shard_bytes=size).join(both.select("doc_id", "lang"), "doc_id")
+        assert got.where("lang = 'fi' AND lang_pred <> 'fi'").isEmpty()
+        assert got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
+
+
 def test_strange_and_empty_texts_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     odd = [(-1, None, "en"), (-2, "12 34", None), (-3, "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία και ζαφείρι δέξου πάγκαλο " * 9, None)]
@@ -402,5 +477,45 @@ def test_stages_of_the_pipeline(spark):
     check_pieces(last.collect(), docs.select("doc_id", "text").collect())
 
 
+def test_run_keeps_what_plain_versions_of_the_stages_keep(spark):
+    """run() on whole small tables: its documents are those of a chain of plain versions, clean ones are kept, and
+    its pieces are all their tokens, as often as mixing draws them."""
+    rejected = {r.doc_id for r in language_id.identify(documents(spark)).where("rejected").collect()}
+    rows = [(r.doc_id, r.text) for r in documents(spark).collect()]
+    rows = brute.without_common_lines([r for r in rows if r[0] not in rejected])
+    classes, _ = brute.document_classes(rows)
+    kept = {doc: text for doc, text in rows if classes[doc] == doc}
+    drawn = {}
+    for p in corpus_pipeline.run(spark, FOLDER).collect():
+        drawn.setdefault(p.doc_id, []).append(p)
+    assert set(drawn) == set(kept)
+    encode = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.json")).encode_ordinary
+    for doc, text in kept.items():
+        tokens = len(encode(text or "")) + 1
+        assert {p.doc_tokens for p in drawn[doc]} == {tokens}
+        times = sum(p.length for p in drawn[doc]) / tokens
+        assert times in (1, 2)
+    good = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1 AND toxic = 0").collect()}
+    gone = good & {doc for doc, _ in rows} - set(kept)
+    assert good.isdisjoint(rejected) and all(classes[doc] != doc for doc in gone)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_and_empty_tables(odd, spark, empty):
+    docs = odd.limit(0) if empty else odd
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.stored(stage(spark, docs, FOLDER), name)
+    assert docs.isEmpty() == empty
+
+
+def test_mixing_by_tokens_that_were_counted(spark):
+    rows = [(i, "x" * 400, "a" if i < 90 else "b", 1000 if i < 90 else None) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tokens long")
+    mixed = mixing.mix(docs, max_repeats=1.0, tokens=F.col("tokens")).collect()
+    assert {(r.source, r.tokens) for r in mixed} == {("a", 1000), ("b", 1)}
+    weights = {r.source: r.weight for r in mixed}
+    assert weights["a"] == pytest.approx(90_000 / 90_010) and len(mixed) == 100
+
+
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))

@@ -171,18 +171,40 @@ def test_useless_vectors():
     assert rows[0] == pytest.approx([0.6, 0.8])
 
 
-def test_probabilities_of_each_context_sum_to_one():
-    texts = {"x": "abra cadabra", "y": "banana bandana ab"}
-    counts = {}
-    for label, text in texts.items():
-        chars, _ = language_id.letters([text])
-        counts[label] = np.unique(language_id.grams(chars)[chars != language_id.EDGE], return_counts=True)
-    models = language_id.Models(counts)
+MODEL_TEXTS = {"x": ["abra cadabra", "cab"], "y": ["banana bandana ab", "nab"], "z": ["\u00e9"]}
+
+
+def learnt(spark, shard_bytes):
+    """Models of MODEL_TEXTS, from documents of a fold that is learnt from."""
+    rows = [(lang, text) for lang, texts in MODEL_TEXTS.items() for text in texts]
+    docs = spark.createDataFrame([(4 * i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    numbers = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 < 2]
+    docs = spark.createDataFrame([(numbers[i], *r) for i, r in enumerate(rows)], docs.schema)
+    labels, shards = language_id.train(docs, shard_bytes)
+    return labels, list(shards)
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 1])
+def test_probabilities_are_those_of_the_definition(spark, shard_bytes):
+    labels, shards = learnt(spark, shard_bytes)
+    assert labels == ["x", "y", "z"] and (len(shards) > 3) == (shard_bytes == 1)
+    plain = {x: brute.kneser_ney([[ord(c) for c in t] for t in texts]) for x, texts in MODEL_TEXTS.items()}
     alphabet = np.arange(1 << 16, dtype=np.uint64)
-    for context in ("abr", "ban", "zzz", " ba"):
+    for context in ("abr", "ban", "zzz", " ba", "\x01\x01\x01", "\x01ca", "xan"):
         a, b, c = (np.uint64(ord(x)) for x in context)
         keys = a << np.uint64(48) | b << np.uint64(32) | c << np.uint64(16) | alphabet
-        assert np.exp(models._score(keys, 4).astype(float)).sum(axis=0) == pytest.approx([1, 1], abs=1e-3)
+        (own,) = [s for s in shards if s.low <= ord(context[2]) <= s.high]
+        got = np.exp(own._score(keys, 4).astype(float))
+        assert got.sum(axis=0) == pytest.approx([1, 1, 1], abs=1e-3)
+        for char in "abcnr dz\u00e9":
+            want = [plain[x](tuple(map(ord, context)), ord(char)) for x in labels]
+            assert got[ord(char)] == pytest.approx(want, rel=1e-4)
+
+
+def test_shards_together_say_what_one_says(spark):
+    texts = ["banana abra", None, "", "12", "abc\u00e9 zzz nab" * 50, "\u00e9"]
+    whole, parts = (language_id.totals(texts, learnt(spark, n)[1], 3) for n in (1 << 20, 1))
+    assert (whole[0] == parts[0]).all() and whole[1] == pytest.approx(parts[1])
 
 
 def test_letters_of_each_text_are_its_own():
