@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from earshot.operators.lookup import BROADCAST_LIMIT, measured_bytes
+from earshot.operators.lookup import BROADCAST_LIMIT, lookup_join, measured_bytes
 from earshot.session import shared_folder
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -96,6 +96,14 @@ def by_unit(df: DataFrame, unit: str, *order: str) -> DataFrame:
     return df.repartition(n, unit).sortWithinPartitions(unit, *order)
 
 
+def with_key(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """`rows` whose key is in `table`, which has one row a key, with its columns. The table is written and measured; while
+    it is small the rows stay where they are, beyond that hot keys are cut into pieces."""
+    known = stored(table, "keys").withColumn("_known", F.lit(True))
+    others = [c for c in rows.columns if c != key]
+    return lookup_join(rows, known, key, spread_on=others, profile=rows).where("_known").drop("_known")
+
+
 def cross_blocks(rows: DataFrame, key: str, main: Column, spread: Column, size: int) -> DataFrame:
     """Units of at most 2 * `size` rows such that two rows of one key meet in exactly one unit, unless
     both are `main`; those need not meet. A group of any size is thereby cut into bounded pieces.
@@ -113,7 +121,7 @@ def cross_blocks(rows: DataFrame, key: str, main: Column, spread: Column, size:
         F.ceil(F.col("_r") / size).cast("long").alias("_rb"),
     )
     # Blocks are numbered with those of the main rows first.
-    joined = flagged.join(sizes, key).withColumn(
+    joined = with_key(flagged, sizes, key).withColumn(
         "_own",
         F.when(F.col("_main"), F.pmod(spread, F.greatest("_mb", F.lit(1)))).otherwise(
             F.col("_mb") + F.pmod(spread, F.greatest("_rb", F.lit(1)))

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import by_unit, components, cross_blocks, map_arrow, runs, slices, stored, without
+from earshot.llm.common import by_unit, components, cross_blocks, map_arrow, runs, slices, stored, with_key, without
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -290,14 +290,14 @@ def _across_groups(
     grouped = members.select("key", "rep").join(groups, F.col("rep") == F.col("id"), "left")
     grouped = grouped.select("key", "rep", F.coalesce("component", "rep").alias("grp"))
     split = grouped.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
-    open_ = stored(grouped.join(split.select("key"), "key"), "open")
+    open_ = stored(with_key(grouped, split.select("key"), "key"), "open")
     largest = (
         open_.groupBy("key", "grp")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("key")
         .agg(F.max(F.struct("n", "grp"))["grp"].alias("top"))
     )
-    rows = open_.join(largest, "key")
+    rows = with_key(open_, largest, "key")
     units = cross_blocks(rows, "key", F.col("grp") == F.col("top"), F.xxhash64("rep"), block)
     marks = reps.select(F.col("rep").alias("_rep"), "keys", "signature")
     rows = units.join(marks, F.col("rep") == F.col("_rep")).select("unit", "side", "key", "rep", "grp", "keys", "signature")
