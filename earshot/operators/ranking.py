@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,3 +31,37 @@ def best_per_group(df: DataFrame, group: str, metric: str, *tie_break: str) -> D
     best = df.groupBy(group).agg(F.min(ranked).alias("_best"), F.sum(metric).alias(f"total_{metric}"))
     kept = [F.col(f"_best.{c}").alias(c) for c in (*tie_break, *others)]
     return best.select(group, *kept, (-F.col("_best._rank")).alias(metric), f"total_{metric}")
+
+
+#: Steps in which `running_sums` cuts each doubling of the column that it goes along.
+STEPS = 8
+
+
+def running_sums(df: DataFrame, along: str, columns: list[str]) -> DataFrame:
+    """`df` with, for each of `columns`, `<column>_through`: its sum over the rows whose `along` is as large or
+    larger, and `all_<column>`: its sum over all rows. `along` is a whole number from 1.
+
+    Rows are ordered within ranges of `along`, an eighth of a doubling each, so there are some five hundred ranges
+    at most whatever the table; what comes before a range follows from the sums of the ranges. No task
+    holds all rows, as with a window without partitions.
+    """
+    ranged = df.withColumn("_range", F.floor(F.log2(F.col(along).cast("double")) * STEPS))
+    totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
+    other = totals.select(F.col("_range").alias("_other"), *[F.col(f"_{c}").alias(f"_o_{c}") for c in columns])
+    # Five hundred rows against five hundred.
+    above = F.col("_other") > F.col("_range")
+    offsets = (
+        totals.select(F.col("_range"))
+        .crossJoin(F.broadcast(other))
+        .groupBy("_range")
+        .agg(
+            *[F.coalesce(F.sum(F.when(above, F.col(f"_o_{c}"))), F.lit(0)).alias(f"_above_{c}") for c in columns],
+            *[F.sum(f"_o_{c}").alias(f"all_{c}") for c in columns],
+        )
+    )
+    down = Window.partitionBy("_range").orderBy(F.col(along).desc())
+    within = ranged.withColumns({f"{c}_through": F.sum(c).over(down) for c in columns})
+    placed = within.join(F.broadcast(offsets), "_range")
+    return placed.withColumns({f"{c}_through": F.col(f"{c}_through") + F.col(f"_above_{c}") for c in columns}).drop(
+        "_range", *[f"_above_{c}" for c in columns]
+    )

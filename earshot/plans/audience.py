@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import calendar as cal
 from earshot.functions import listening as ls
-from earshot.operators.ranking import top
+from earshot.operators.ranking import running_sums, top
 from earshot.plans.analyses import pooled_mean, rates_per_user
 from earshot.plans.star import Star
 
@@ -90,9 +90,9 @@ def heavy_user_concentration(star: Star, percents: Sequence[int] = (1, 5, 10, 20
     """Share of all listens made by the heaviest 1 %, 5 %, ... of listening users (rounded up).
 
     Users are first folded into a histogram: listens per user -> number of such users. Different
-    counts that add up to N listens number at most sqrt(2 N), so the running sums over the histogram
-    stay small whatever the number of users, where ranking the users would sort all of them in one
-    place. Users with equal counts are interchangeable, which makes the cut inside a step exact.
+    counts that add up to N listens number at most sqrt(2 N), and they are summed in ranges
+    (`running_sums`), where ranking the users would sort all of them in one place. Users with equal counts are
+    interchangeable, which makes the cut inside a step exact.
     """
     per_user = (
         star.valid.where(ls.is_listen(F.col("event_type")))
@@ -100,17 +100,8 @@ def heavy_user_concentration(star: Star, percents: Sequence[int] = (1, 5, 10, 20
         .agg(F.count(F.lit(1)).alias("listens"))
     )
     steps = per_user.groupBy("listens").agg(F.count(F.lit(1)).alias("users"))
-    down = Window.orderBy(F.col("listens").desc())
-    everything = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    step_listens = F.col("listens") * F.col("users")
-    running = steps.select(
-        "listens",
-        "users",
-        F.sum("users").over(down).alias("users_through"),
-        F.sum(step_listens).over(down).alias("listens_through"),
-        F.sum("users").over(everything).alias("all_users"),
-        F.sum(step_listens).over(everything).alias("all_listens"),
-    )
+    summed = running_sums(steps.withColumn("heard", F.col("listens") * F.col("users")), "listens", ["users", "heard"])
+    running = summed.withColumnsRenamed({"heard_through": "listens_through", "all_heard": "all_listens"})
     wanted = running.withColumn(
         "top_percent", F.explode(F.array(*[F.lit(p).cast("long") for p in percents]))
     ).withColumn("heavy_users", F.expr("(top_percent * all_users + 99) div 100"))

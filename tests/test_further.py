@@ -5,9 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from earshot.operators.dedup import one_per_key
-from earshot.operators.ranking import best_per_group, top
+from earshot.operators.ranking import best_per_group, running_sums, top
 from earshot.plans import audience, history, monitoring, profile
-from tests.frames import event, rows, star
+from tests.frames import event, plan_of, rows, star
 
 D1, D2, D3 = (dt.date(2024, m, 1) for m in (1, 2, 3))
 
@@ -138,3 +138,20 @@ def test_one_per_key_and_top(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("c", None)], "k string, n long")
     assert rows(one_per_key(df, "k"), "k") == [("a",), ("b",), ("c",)]
     assert [r["k"] for r in top(one_per_key(df, "k"), 3, "n", "k").collect()] == ["a", "b", "c"]
+
+
+def test_running_sums_are_made_in_ranges(spark):
+    values = [1, 2, 3, 4, 7, 8, 9, 1000, 1001, 10**9, 2**40, 2**40 + 1]
+    df = spark.createDataFrame([(v, v % 5 + 1, i) for i, v in enumerate(values)], "along long, n long, m long")
+    summed = running_sums(df, "along", ["n", "m"])
+    want = [
+        (v, sum(x % 5 + 1 for x in values if x >= v), sum(i for i, x in enumerate(values) if x >= v)) for v in values
+    ]
+    assert rows(summed, "along", "n_through", "m_through") == sorted(want, key=repr)
+    assert rows(summed.select("all_n", "all_m").distinct(), "*") == [(sum(v % 5 + 1 for v in values), sum(range(len(values))))]
+    assert running_sums(df.limit(0), "along", ["n"]).count() == 0
+    assert "SinglePartition" not in plan_of(summed)
+
+
+def test_concentration_has_no_task_for_all(spark):
+    assert "SinglePartition" not in plan_of(audience.heavy_user_concentration(star(spark, [event()])))
