@@ -16,6 +16,8 @@ from earshot.llm.common import map_arrow, slices, stored, without
 #: Characters an n-gram has; four of 16 bits fill the key.
 ORDER = 4
 SPACE, EDGE = 32, 1
+#: Characters whose n-grams are scored together.
+PIECE = 1 << 17
 #: Natural log of the probability of a character about which nothing is known.
 UNSEEN = -math.log(1 << 16)
 
@@ -39,7 +41,7 @@ def letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     edge = "\ufffe" * (ORDER - 1)
     raw = np.frombuffer((edge + edge.join(t or "" for t in texts)).encode("utf-32-le", "surrogatepass"), "<u4")
     sizes = np.array([len(t or "") for t in texts], np.int64) + ORDER - 1
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     chars = letter_table()[raw]
     starts = np.cumsum(sizes) - sizes
     for k in range(ORDER - 1):
@@ -167,14 +169,21 @@ class Shard:
 
 
 def totals(texts: list[str | None], shards: Iterable[Shard], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the characters scored, and bits for all of them in each of `width` languages."""
+    """Per text the characters scored, and bits for all of them in each of `width` languages.
+
+    N-grams are made and scored for PIECE characters at a time, so that what a shard needs besides the texts does
+    not grow with them.
+    """
     chars, owner = letters(texts)
-    scored = chars != EDGE
-    keys, owner = grams(chars)[scored], owner[scored]
-    bits = np.zeros((len(texts), width))
+    number, bits = np.bincount(owner[chars != EDGE], minlength=len(texts)), np.zeros((len(texts), width))
     for shard in shards:
-        bits += shard.bits(keys, owner, len(texts))
-    return np.bincount(owner, minlength=len(texts)), bits
+        for start in range(0, len(chars), PIECE):
+            first = max(0, start - ORDER + 1)
+            piece = chars[first : start + PIECE]
+            scored = piece != EDGE
+            scored[: start - first] = False
+            bits += shard.bits(grams(piece)[scored], owner[first : start + PIECE][scored], len(texts))
+    return number, bits
 
 
 def fold(doc_id: Column) -> Column:
@@ -337,7 +346,7 @@ def identify(
                     broadcast.__dict__.pop("_value", None)
 
         # Where shards have to be read again, they are for more texts at a time.
-        for batch in slices(batches, "text", (2 if len(shared) <= 1 else 16) << 20):
+        for batch in slices(batches, "text", (1 if len(shared) <= 1 else 8) << 20):
             number, bits = totals(batch.column("text").to_pylist(), one_by_one(), len(known))
             size = np.maximum(number, 1)
             if len(known):
