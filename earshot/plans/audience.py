@@ -181,7 +181,8 @@ def listener_sketches(star: Star, nominal: int = 12) -> DataFrame:
     """
     heard = star.valid_copies.where(ls.is_listen(F.col("event_type")))
     return heard.groupBy("episode_id", "event_date").agg(
-        F.theta_sketch_agg(F.col("user_id").cast("string"), F.lit(nominal)).alias("listeners")
+        # A sketch passes over an empty text, which may be a user's id.
+        F.theta_sketch_agg(F.concat(F.lit("="), F.col("user_id").cast("string")), F.lit(nominal)).alias("listeners")
     )
 
 

@@ -12,7 +12,9 @@ from oracle import _STATEMENTS, MODELS
 from tests.compare import spark_rows, sql_rows
 
 INCREMENTAL = ("incremental_fact", "incremental_daily_activity", "incremental_mart", "check_derived_tables", "incremental_fact_stream")
-OTHER_INPUTS = ("csv_round_trip", "dim_users_history", "feature_impact", *INCREMENTAL, "ltr_by_region")
+FILES = ("csv_round_trip", "damaged_log")
+HISTORY = ("dim_users_history", "ltr_by_country_as_of")
+OTHER_INPUTS = (*FILES, *HISTORY, "feature_impact", *INCREMENTAL, "ltr_by_region", "rejection_alarm", "mart_under_second_rules")
 STAMPS = [None, "", "malformed-date", "2024-02-30", "2024-01", "2024/01/05 10:00:00", "2024-01-06T10:00Z", "2024-01-07"]
 
 
