@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import by_unit, components, cross_blocks, map_arrow, runs, slices, stored, with_key, without
+from earshot.llm.common import by_unit, components, cross_counted, map_arrow, runs, slices, small, stored, with_key, without
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -173,7 +173,7 @@ def _verified(asked: DataFrame, texts: DataFrame, k: int, least: float) -> DataF
         F.col("b").alias("_id"), F.xxhash64("b", "_slot").alias("unit"), F.lit(0).alias("side")
     )
     # Both sides grow with the input, so neither is broadcast.
-    both = stored(members.union(leaders), "asked").hint("merge")
+    both = members.union(leaders).hint("merge")
     rows = texts.select(F.col("doc_id").alias("_id"), "text").join(both, "_id")
 
     def run(batches):
@@ -229,12 +229,16 @@ def near_duplicates(
     known = docs.where(F.col("doc_id").isNotNull())
     drawn = stored(_sketched(known, k, sketches, length), "sketches")
     worded = drawn.where(F.col("digest").isNotNull())
-    copies = stored(worded.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "copies")
-    repeated = copies.where(F.col("n") > 1).select("digest", "rep")
+    # Keys and signature of equal texts are equal.
+    copies = worded.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")
+    )
+    copies = stored(copies, "copies")
+    repeated = small(copies.where(F.col("n") > 1).select("digest", "rep"))
     same = worded.select("doc_id", "digest").join(repeated, "digest").where("doc_id != rep")
-    same = stored(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
+    same = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    reps = worded.join(copies.select("digest", "rep"), "digest").where("doc_id = rep")
+    reps = copies.select("rep", "keys", "signature")
     entries = reps.select("rep", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first != last")
     members = stored(entries.join(shared.select("key", "first"), "key"), "buckets")
@@ -243,13 +247,16 @@ def near_duplicates(
     texts = stored(known.select("doc_id", "text").join(asked, "doc_id", "left_semi"), "texts")
     star = members.where("rep != first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
     star = stored(star, "star")
-    found = stored(_verified(star, texts, k, least).select("a", "b"), "links").union(same)
+    links = stored(_verified(star, texts, k, least).select("a", "b"), "links")
+    groups = components(links.union(same))
     tested = star
     for spanning in (True, False):
-        pairs = _across_groups(members, components(found), reps, tested, least, block, spanning)
-        found = found.union(stored(_verified(pairs, texts, k, least).select("a", "b"), "links"))
+        pairs = _across_groups(members, groups, reps, tested, least, block, spanning)
+        links = stored(_verified(pairs, texts, k, least).select("a", "b"), "links")
+        # Each id with the smallest of its group stands for all links found before.
+        groups = components(links.union(groups.select("id", "component").where("id != component")))
         tested = tested.union(pairs)
-    every = components(found).select(F.col("id").alias("_id"), "component")
+    every = groups.select(F.col("id").alias("_id"), "component")
     return (
         docs.select("doc_id")
         .join(every, F.col("doc_id") == F.col("_id"), "left")
@@ -288,17 +295,15 @@ def _across_groups(
     """(a, b): candidates of different groups that share a bucket and were not `tested`, as far as their
     signatures allow `least`; with `spanning` only those that would join the groups of a block."""
     grouped = members.select("key", "rep").join(groups, F.col("rep") == F.col("id"), "left")
-    grouped = grouped.select("key", "rep", F.coalesce("component", "rep").alias("grp"))
-    split = grouped.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
-    open_ = stored(with_key(grouped, split.select("key"), "key"), "open")
-    largest = (
-        open_.groupBy("key", "grp")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("key")
-        .agg(F.max(F.struct("n", "grp"))["grp"].alias("top"))
+    grouped = stored(grouped.select("key", "rep", F.coalesce("component", "rep").alias("grp")), "grouped")
+    # A key's largest group, and how many rows are in it and in its other groups.
+    counted = grouped.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+    counted = counted.agg(F.max(F.struct("n", "grp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"))
+    split = counted.where("groups > 1").select(
+        "key", F.col("top.grp").alias("top"), F.col("top.n").alias("mains"), (F.col("n") - F.col("top.n")).alias("rest")
     )
-    rows = with_key(open_, largest, "key")
-    units = cross_blocks(rows, "key", F.col("grp") == F.col("top"), F.xxhash64("rep"), block)
+    rows = with_key(grouped, split, "key")
+    units = cross_counted(rows, "key", F.col("grp") == F.col("top"), "mains", "rest", F.xxhash64("rep"), block)
     marks = reps.select(F.col("rep").alias("_rep"), "keys", "signature")
     rows = units.join(marks, F.col("rep") == F.col("_rep")).select("unit", "side", "key", "rep", "grp", "keys", "signature")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from earshot.llm import chat, common, fertility, itq, language_id, licenses, line_dedup, mixing, order_minhash, packing, warc
 from earshot.llm.queries import LLM_QUERIES
+from tests.frames import plan_of
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -415,6 +416,28 @@ def test_components(spark):
     assert got == brute.roots(sorted({x for e in edges if e[0] != e[1] for x in e}), edges)
 
 
+def test_components_where_tasks_forget(spark, monkeypatch):
+    monkeypatch.setattr(common, "FOREST", 5)
+    random = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in random.integers(0, 400, (330, 2)) if a != b] + [(500, i) for i in range(0, 60, 2)]
+    edges += [(1000 + i, 1001 + i) for i in range(0, 60)]
+    got = {r["id"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    assert got == brute.roots(sorted({x for e in edges if e[0] != e[1] for x in e}), edges)
+
+
+def test_components_shuffle_once_a_round(spark, monkeypatch):
+    plans, plain = [], common.stored
+
+    def seen(df, label):
+        plans.append((label, plan_of(df, "simple").count("Exchange hashpartitioning")))
+        return plain(df, label)
+
+    monkeypatch.setattr(common, "stored", seen)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(20)]
+    common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sum(n for _, n in plans) <= sum(label == "ends" for label, _ in plans) <= 4
+
+
 def test_vectors_against_all_pairs(spark):
     random = np.random.default_rng(0)
     base = random.standard_normal((300, 32))
