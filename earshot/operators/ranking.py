@@ -47,17 +47,13 @@ def running_sums(df: DataFrame, along: str, columns: list[str]) -> DataFrame:
     """
     ranged = df.withColumn("_range", F.floor(F.log2(F.col(along).cast("double")) * STEPS))
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
-    other = totals.select(F.col("_range").alias("_other"), *[F.col(f"_{c}").alias(f"_o_{c}") for c in columns])
-    # Five hundred rows against five hundred.
+    # Each range is added to all ranges that a long can be in, five hundred times five hundred rows at most.
+    every = F.sequence(F.lit(0).cast("long"), F.lit(63 * STEPS).cast("long"))
+    met = totals.withColumnRenamed("_range", "_other").withColumn("_range", F.explode(every))
     above = F.col("_other") > F.col("_range")
-    offsets = (
-        totals.select(F.col("_range"))
-        .crossJoin(F.broadcast(other))
-        .groupBy("_range")
-        .agg(
-            *[F.coalesce(F.sum(F.when(above, F.col(f"_o_{c}"))), F.lit(0)).alias(f"_above_{c}") for c in columns],
-            *[F.sum(f"_o_{c}").alias(f"all_{c}") for c in columns],
-        )
+    offsets = met.groupBy("_range").agg(
+        *[F.coalesce(F.sum(F.when(above, F.col(f"_{c}"))), F.lit(0)).alias(f"_above_{c}") for c in columns],
+        *[F.sum(f"_{c}").alias(f"all_{c}") for c in columns],
     )
     down = Window.partitionBy("_range").orderBy(F.col(along).desc())
     within = ranged.withColumns({f"{c}_through": F.sum(c).over(down) for c in columns})
